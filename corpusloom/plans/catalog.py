@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import corpus_queries, monitoring_queries, retrieval_queries  # noqa: F401
+from corpusloom.plans import corpus_queries, guardrail_queries, monitoring_queries, retrieval_queries  # noqa: F401
 from corpusloom.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "traffic_metrics"
