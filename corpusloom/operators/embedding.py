@@ -17,16 +17,18 @@ MIN_CHARS = 10
 SUB_BATCH = 32
 
 
-def hashed_embeddings(df: DataFrame, text_col: str, dim: int = 256, out: str = "embedding") -> DataFrame:
+def hashed_embeddings(df: DataFrame, text_col: str, dim: int = 256, out: str = "embedding", weighted: bool = True) -> DataFrame:
     """Default model: hashed term counts, weighted by inverse document frequency, unit length.
 
+    Without ``weighted`` a vector depends on its own text alone, as a stream needs.
+
     Texts that are NULL or at most ``MIN_CHARS`` long get NULL, so the row count never changes.
     """
     usable = F.length(text_col) > MIN_CHARS
     toks = F.when(usable, tx.tokens(F.lower(text_col))).otherwise(F.array().cast("array<string>"))
     counted = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim).transform(df.withColumn("_tok", toks))
-    weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
-    unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
+    scaled = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted) if weighted else counted.withColumn("_idf", F.col("_tf"))
+    unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(scaled)
     vector = F.when(usable, vector_to_array("_unit", dtype="float32"))
     return unit.withColumn(out, vector).drop("_tok", "_tf", "_idf", "_unit")
 

@@ -31,12 +31,10 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
 
 
-def table_stream(spark: SparkSession, root: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same table as a file stream."""
+def table_stream(spark: SparkSession, root: str, name: str, bytes_per_trigger: str = "4g") -> DataFrame:
+    """The same table as a file stream, with micro-batches of bounded size."""
     reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet*")
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(root)
+    return reader.option("maxBytesPerTrigger", bytes_per_trigger).parquet(root)
 
 
 def whole_documents(spark: SparkSession, path: str) -> DataFrame:
