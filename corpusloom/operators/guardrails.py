@@ -24,16 +24,32 @@ MINUTE, HOUR = 60_000_000, 3_600_000_000
 SPAN_TYPE = "array<struct<entity_type:string,start:int,end:int,text:string>>"
 
 
+def literal_head(pattern: str) -> str:
+    """The literal text a pattern starts with, or an empty string. Patterns with alternatives outside groups have none."""
+    if "|" in re.sub(r"\([^()]*\)", "", pattern):
+        return ""
+    head = re.match(r"[A-Za-z0-9<;]*", pattern).group()
+    return head[:-1] if pattern[len(head) : len(head) + 1] in ("?", "*", "{") and head else head
+
+
 def any_pattern(c: Column, patterns: Sequence[str]) -> Column:
-    """One scan for a group of patterns, ignoring case."""
-    return F.rlike(c, F.lit("(?i)(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"))
+    """Whether one of the patterns occurs, ignoring case.
+
+    A plain substring test for a pattern's literal start comes first and spares most texts the regular expression.
+    """
+    low, hit = F.lower(c), F.lit(False)
+    for p in patterns:
+        found = F.rlike(c, F.lit("(?i)" + p))
+        head = literal_head(p).lower()
+        hit = hit | ((F.contains(low, F.lit(head)) & found) if head else found)
+    return hit
 
 
 # ---- validation and risks
 
 def special_ratio(c: Column) -> Column:
     """Share of characters that are neither letters, digits nor blanks."""
-    return F.length(F.regexp_replace(c, r"[\p{L}\p{N}\p{Z} \t\n\r\f]", "")) / F.length(c)
+    return F.length(F.regexp_replace(c, r"[\p{L}\p{N}\p{Z} \t\n\r\f]+", "")) / F.length(c)
 
 
 def validate_prompt(c: Column, prohibited: Sequence[str] = pt.PROHIBITED_PATTERNS) -> Column:
@@ -72,18 +88,14 @@ def select_actions(risks: Column, rules: Mapping[str, Sequence[str]] = pt.RISK_A
     return F.array_compact(F.array(*out))
 
 
-def apply_actions(c: Column, actions: Column) -> Column:
-    """struct(allowed, text, notes): BLOCK empties the text and ends; MASK, FILTER and COMPRESS change it."""
-    blocked = F.array_contains(actions, "block")
-    out = F.when(F.array_contains(actions, "mask"), mask_replace(c)).otherwise(c)
-    out = F.when(F.array_contains(actions, "filter"), substitute(out)).otherwise(out)
-    out = F.when(F.array_contains(actions, "compress"), tx.squeeze(out)).otherwise(out)
-    notes = F.array_compact(F.array(*[F.when(F.array_contains(actions, a), F.lit(n)) for a, n in pt.ACTION_NOTES.items()]))
-    return F.struct(
-        (~blocked).alias("allowed"),
-        F.when(blocked, "").otherwise(out).alias("text"),
-        F.when(blocked, F.array(F.lit(pt.ACTION_NOTES["block"]))).otherwise(notes).alias("notes"),
-    )
+def apply_actions(df: DataFrame, text_col: str, actions: str) -> DataFrame:
+    """Adds ``allowed``, ``processed`` and ``notes``: BLOCK empties the text and ends; MASK, FILTER and COMPRESS change it."""
+    has = lambda action: F.array_contains(actions, action)
+    notes = F.array_compact(F.array(*[F.when(has(a), F.lit(n)) for a, n in pt.ACTION_NOTES.items()]))
+    out = df.withColumn("allowed", ~has("block")).withColumn("processed", F.when(F.col("allowed"), F.col(text_col)).otherwise(""))
+    for action, change in (("mask", mask_replace), ("filter", substitute), ("compress", tx.squeeze)):
+        out = out.withColumn("processed", F.when(F.col("allowed") & has(action), change(F.col("processed"))).otherwise(F.col("processed")))
+    return out.withColumn("notes", F.when(F.col("allowed"), notes).otherwise(F.array(F.lit(pt.ACTION_NOTES["block"]))))
 
 
 # ---- PII
@@ -96,17 +108,34 @@ def pii_regex(profile: Mapping[str, tuple[str, str]], faithful: bool = False) ->
     }
 
 
+def may_hold(c: Column, entity_type: str) -> Column:
+    """Cheap necessary condition of a type: an at sign, a digit, or nothing for names."""
+    if entity_type == "EMAIL_ADDRESS":
+        return F.contains(c, F.lit("@"))
+    if entity_type.startswith("PERSON"):
+        return F.lit(True)
+    return F.rlike(c, F.lit(r"\p{Nd}"))
+
+
 def pii_count(c: Column, profile=pt.PII_A) -> Column:
     n = F.lit(0)
-    for p in pii_regex(profile).values():
-        n = n + F.regexp_count(c, F.lit(p))
+    for t, p in pii_regex(profile).items():
+        n = n + F.when(may_hold(c, t), F.regexp_count(c, F.lit(p))).otherwise(0)
     return n.cast("bigint")
 
 
+def any_pii(c: Column, profile=pt.PII_A, faithful: bool = False) -> Column:
+    hit = F.lit(False)
+    for t, p in pii_regex(profile, faithful).items():
+        hit = hit | (may_hold(c, t) & F.rlike(c, F.lit(p)))
+    return hit
+
+
 def pii_spans(df: DataFrame, keys: Sequence[str], text_col: str, profile=pt.PII_A, faithful: bool = False) -> DataFrame:
     """Rows (keys, entity_type, ordinal, entity): every match, numbered per type."""
+    c, none = F.col(text_col), F.array().cast("array<string>")
     per_type = F.array(*[
-        F.struct(F.lit(t).alias("entity_type"), F.regexp_extract_all(F.col(text_col), F.lit(p), F.lit(0)).alias("found"))
+        F.struct(F.lit(t).alias("entity_type"), F.when(may_hold(c, t), F.regexp_extract_all(c, F.lit(p), F.lit(0))).otherwise(none).alias("found"))
         for t, p in pii_regex(profile, faithful).items()
     ])
     return (
@@ -116,7 +145,7 @@ def pii_spans(df: DataFrame, keys: Sequence[str], text_col: str, profile=pt.PII_
 
 
 def pii_offsets(df: DataFrame, keys: Sequence[str], text_col: str, profile=pt.PII_A, faithful: bool = False) -> DataFrame:
-    """Rows (keys, entity_type, start, end, entity) with character offsets."""
+    """Rows (keys, entity_type, start, end, entity) with character offsets. Only texts with a match leave the JVM."""
     compiled = [
         (t, re.compile(p, re.IGNORECASE if profile is pt.PII_B and (faithful or t not in pt.CASED_TYPES) else 0)) for t, (p, _) in profile.items()
     ]
@@ -131,16 +160,18 @@ def pii_offsets(df: DataFrame, keys: Sequence[str], text_col: str, profile=pt.PI
         )
 
     return (
-        df.select(*keys, F.explode(F.pandas_udf(spans, SPAN_TYPE)(text_col)).alias("s"))
+        df.where(any_pii(F.col(text_col), profile, faithful))
+        .select(*keys, F.explode(F.pandas_udf(spans, SPAN_TYPE)(text_col)).alias("s"))
         .select(*keys, "s.entity_type", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.text").alias("entity"))
     )
 
 
 def mask_replace(c: Column, profile=pt.PII_A) -> Column:
     """Each match becomes its type's token, type by type in profile order."""
+    out = c
     for t, p in pii_regex(profile).items():
-        c = F.regexp_replace(c, p, profile[t][1].replace("$", r"\$"))
-    return c
+        out = F.regexp_replace(out, p, profile[t][1].replace("$", r"\$"))
+    return F.when(any_pii(c, profile), out).otherwise(c)
 
 
 def mask_matches(c: Column, mode: str, profile=pt.PII_A) -> Column:
@@ -159,7 +190,7 @@ def mask_matches(c: Column, mode: str, profile=pt.PII_A) -> Column:
     else:
         raise ValueError(f"unknown mode {mode}")
     pieces = F.zip_with(rest, F.concat(masked, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    return F.array_join(pieces, "")
+    return F.when(any_pii(c, profile), F.array_join(pieces, "")).otherwise(c)
 
 
 def pii_statistics(df: DataFrame, text_col: str, profile=pt.PII_A) -> DataFrame:
@@ -173,7 +204,8 @@ def pii_statistics(df: DataFrame, text_col: str, profile=pt.PII_A) -> DataFrame:
 def pii_distribution(df: DataFrame, text_col: str, profile=pt.PII_A) -> DataFrame:
     """Entities and documents by type, from per-row counts instead of exploded matches."""
     counts = F.array(*[
-        F.struct(F.lit(t).alias("entity_type"), F.regexp_count(text_col, F.lit(p)).alias("n")) for t, p in pii_regex(profile).items()
+        F.struct(F.lit(t).alias("entity_type"), F.when(may_hold(F.col(text_col), t), F.regexp_count(text_col, F.lit(p))).otherwise(0).alias("n"))
+        for t, p in pii_regex(profile).items()
     ])
     return (
         df.select(F.explode(counts).alias("c")).where(F.col("c.n") > 0)
@@ -185,25 +217,40 @@ def pii_distribution(df: DataFrame, text_col: str, profile=pt.PII_A) -> DataFram
 
 # ---- compliant substitution
 
+def may_match(c: Column, pattern: str) -> Column:
+    """Cheap necessary condition of a restricted pattern."""
+    if "@" in pattern:
+        return F.contains(c, F.lit("@"))
+    if pattern.startswith(r"\$"):
+        return F.contains(c, F.lit("$"))
+    if pattern.startswith(r"\b\d"):
+        return F.rlike(c, F.lit(r"\p{Nd}"))
+    head = literal_head(pattern).lower()
+    return F.contains(F.lower(c), F.lit(head)) if head else F.lit(True)
+
+
 def restricted_matches(c: Column, rules=pt.RESTRICTED) -> Column:
     """Array of 'category: match → token' in rule order."""
 
     def noted(category: str, token: str):
         return lambda m: F.concat(F.lit(category + ": "), m, F.lit(" → " + token))
 
-    parts = []
+    parts, none = [], F.array().cast("array<string>")
     for category, (patterns, token) in rules.items():
         for p in patterns:
             hits = F.regexp_extract_all(c, F.lit("(?i)" + UNICODE + p), F.lit(0))
-            parts.append(F.transform(hits, noted(category, token)))
+            parts.append(F.when(may_match(c, p), F.transform(hits, noted(category, token))).otherwise(none))
     return F.concat(*parts)
 
 
 def substitute(c: Column, rules=pt.RESTRICTED) -> Column:
+    out, hit = c, F.lit(False)
     for patterns, token in rules.values():
         for p in patterns:
-            c = F.regexp_replace(c, "(?i)" + UNICODE + p, token)
-    return c
+            found = "(?i)" + UNICODE + p
+            hit = hit | (may_match(c, p) & F.rlike(c, F.lit(found)))
+            out = F.regexp_replace(out, found, token)
+    return F.when(hit, out).otherwise(c)
 
 
 def compliant_documents(df: DataFrame, text_col: str = "content") -> DataFrame:

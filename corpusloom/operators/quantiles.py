@@ -73,7 +73,9 @@ def exact_percentiles(
         on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
         marked = narrow.join(brackets, on).drop(*[f"_k_{c}" for c in by])
     else:
-        marked = narrow.withColumn("_b", as_row(stats.select(plan))["_b"])
+        extra_names = [c for c in stats.columns if c not in ("_n", "_q")]
+        shared = as_row(stats.select(plan, *extra_names))
+        marked = narrow.withColumn("_b", shared["_b"])
 
     v, inside = F.col("_v"), F.lit(False)
     floor_edge = F.lit(float("-inf"))
@@ -117,5 +119,4 @@ def exact_percentiles(
         )
         on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
         return result.join(keyed, on).drop(*[f"_k_{c}" for c in by])
-    row = as_row(extras)
-    return result.withColumn("_x", row).select(*names, "_x.*")
+    return result.withColumn("_x", shared).select(*names, *[f"_x.{c}" for c in extra_names])

@@ -118,9 +118,8 @@ c AS (SELECT *, CASE WHEN list_contains(actions, 'compress') THEN {sql_squeeze('
 SELECT doc_id, NOT list_contains(actions, 'block') AS allowed, md5(CASE WHEN list_contains(actions, 'block') THEN '' ELSE t3 END) AS text_digest,
   CASE WHEN list_contains(actions, 'block') THEN '{pt.ACTION_NOTES["block"]}' ELSE concat_ws('; ', {', '.join(f"CASE WHEN list_contains(actions, '{a}') THEN '{n}' END" for a, n in pt.ACTION_NOTES.items())}) END AS notes FROM c""", D)
 def _(spark, root):
-    a = risks(spark, root).withColumn("actions", gd.select_actions(F.col("risks")))
-    r = a.select("doc_id", gd.apply_actions(F.col("content"), F.col("actions")).alias("r"))
-    return r.select("doc_id", "r.allowed", F.md5("r.text").alias("text_digest"), F.array_join("r.notes", "; ").alias("notes"))
+    a = gd.apply_actions(risks(spark, root).withColumn("actions", gd.select_actions(F.col("risks"))), "content", "actions")
+    return a.select("doc_id", "allowed", F.md5("processed").alias("text_digest"), F.array_join("notes", "; ").alias("notes"))
 
 
 def _span_sql(profile) -> str:

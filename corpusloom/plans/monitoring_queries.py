@@ -8,7 +8,7 @@ from corpusloom.operators import monitoring as mo
 from corpusloom.plans.registry import query
 from corpusloom.plans.shared import r6, rounded
 from corpusloom.sources.bindings import traffic
-from corpusloom.sources.tables import table
+from corpusloom.sources.tables import spread, table
 
 V = ("v_traffic",)
 # The log holds 30 days, which the reviews compare by halves.
@@ -231,7 +231,7 @@ def _(spark, root):
 
 def stages(spark, root):
     """Stage times of a request, taken from the amounts of an order line."""
-    return table(spark, root, "lineitem").select(
+    return spread(table(spark, root, "lineitem"), "l_orderkey").select(
         F.col("l_quantity").alias("embedding"), (F.col("l_discount") * 1000).alias("search"),
         (F.col("l_tax") * 100).alias("formatting"), (F.col("l_extendedprice") / 100).alias("generation"),
     )

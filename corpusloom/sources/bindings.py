@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
-from corpusloom.sources.tables import table
+from corpusloom.sources.tables import spread, table
 
 PROPS_SCHEMA = "k int"
 
@@ -38,7 +38,7 @@ def traffic(spark: SparkSession, root: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select(
+    return spread(table(spark, root, "documents"), "doc_id").select(
         "doc_id",
         F.col("lang").alias("category"),
         "source",

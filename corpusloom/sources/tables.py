@@ -31,7 +31,16 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(root, name))
 
 
-def table_stream(spark: SparkSession, root: str, name: str, bytes_per_trigger: str = "4g") -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan of fewer splits than cores over all cores, for work that is bound by CPU.
+
+    A large table has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def table_stream(spark: SparkSession, root: str, name: str, bytes_per_trigger: int = 4 * 1024**3) -> DataFrame:
     """The same table as a file stream, with micro-batches of bounded size."""
     reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet*")
     return reader.option("maxBytesPerTrigger", bytes_per_trigger).parquet(root)
