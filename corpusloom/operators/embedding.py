@@ -41,16 +41,18 @@ def model_embeddings(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = make_model()
         for texts in batches:
-            good = texts[texts.notna() & (texts.str.len() > MIN_CHARS)]
-            vectors: list[list[float]] = []
-            for i in range(0, len(good), sub_batch):
-                vectors += model(good.iloc[i : i + sub_batch].tolist())
-            yield pd.Series(vectors, index=good.index, dtype=object).reindex(texts.index)
-
-    from pyspark.sql.functions import pandas_udf
-
+            values = texts.tolist()
+            usable = [i for i, t in enumerate(values) if isinstance(t, str) and len(t) > MIN_CHARS]
+            vectors: list[list[float] | None] = [None] * len(values)
+            for at in range(0, len(usable), sub_batch):
+                part = usable[at : at + sub_batch]
+                for i, vector in zip(part, model([values[i] for i in part])):
+                    vectors[i] = vector
+            yield pd.Series(vectors, dtype=object)
+
+    # pandas_udf reads the kind from evaluated hints, which this module postpones.
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return df.withColumn(out, pandas_udf(run, "array<float>")(text_col))
+    return df.withColumn(out, F.pandas_udf(run, "array<float>")(text_col))
 
 
 def pending_texts(docs: DataFrame, indexed: DataFrame, text_col: str = "content") -> DataFrame:

@@ -13,13 +13,31 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import materialise
+
 DEFAULT_ACCURACY = 100_000
 MARGIN = 4.0
 
 
+SMALL_ROWS = 10_000
+
+
 def as_row(df: DataFrame) -> Column:
-    """A one-row frame as a scalar subquery of struct type."""
-    return df.select(F.struct("*").alias("row")).scalar()
+    """A one-row frame as a struct column.
+
+    The row is computed once, here, and enters later plans as a scalar subquery over a local row. Plans
+    that use it in many places neither repeat its jobs nor grow by its plan.
+    """
+    local = df.sparkSession.createDataFrame(df.limit(1).collect(), df.schema)
+    return local.select(F.struct("*").alias("row")).scalar()
+
+
+def small_side(df: DataFrame, label: str, bound: int = SMALL_ROWS) -> DataFrame:
+    """A join side computed once: local and broadcast if it has at most ``bound`` rows, else a written table."""
+    rows = df.limit(bound + 1).collect()
+    if len(rows) <= bound:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return materialise(df, label)
 
 
 def exact_percentiles(
@@ -68,15 +86,20 @@ def exact_percentiles(
     plan = F.struct(*edges, *ranks).alias("_b")
 
     narrow = src.where(F.col("_v").isNotNull()).select(*by, "_v")
+    extra_names = [c for c in stats.columns if c not in ("_n", "_q", *by)]
     if by:
-        brackets = stats.select(*[F.col(c).alias(f"_k_{c}") for c in by], plan)
-        on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
-        marked = narrow.join(brackets, on).drop(*[f"_k_{c}" for c in by])
+        shared = small_side(stats.select(*[F.col(c).alias(f"_k_{c}") for c in by], plan, *extra_names), "percentile-brackets")
     else:
-        extra_names = [c for c in stats.columns if c not in ("_n", "_q")]
         shared = as_row(stats.select(plan, *extra_names))
-        marked = narrow.withColumn("_b", shared["_b"])
 
+    def with_stats(df: DataFrame, *columns: str) -> DataFrame:
+        if not by:
+            return df.withColumns({c: shared[c] for c in columns})
+        on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
+        keys = [f"_k_{c}" for c in by]
+        return df.join(shared.select(*keys, *columns), on).drop(*keys)
+
+    marked = with_stats(narrow, "_b")
     v, inside = F.col("_v"), F.lit(False)
     floor_edge = F.lit(float("-inf"))
     for i in range(len(names)):
@@ -84,8 +107,8 @@ def exact_percentiles(
         inside = inside | ((v >= lo) & (v <= hi))
         floor_edge = F.greatest(floor_edge, F.when(hi < v, hi).otherwise(F.lit(float("-inf"))))
     counted = (
-        marked.select(*by, "_b", F.when(inside, v).otherwise(floor_edge).alias("_v"), (~inside).alias("_gap"))
-        .groupBy(*by, "_b", "_v", "_gap")
+        marked.select(*by, F.when(inside, v).otherwise(floor_edge).alias("_v"), (~inside).alias("_gap"))
+        .groupBy(*by, "_v", "_gap")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     order = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_v", "_gap")
@@ -98,7 +121,7 @@ def exact_percentiles(
         lost = F.raise_error(F.lit("percentile bracket missed its rank; raise accuracy")).cast("double")
         return F.max(F.when(here, F.when(F.col("_gap"), lost).otherwise(v)))
 
-    picked = ranked.groupBy(*by).agg(
+    picked = with_stats(ranked, "_b").groupBy(*by).agg(
         *[at(f"r{i}").alias(f"_lo{i}") for i in range(len(names))],
         *[at(f"s{i}").alias(f"_hi{i}") for i in range(len(names))],
         *[F.first(f"_b.f{i}").alias(f"_f{i}") for i in range(len(names))],
@@ -110,13 +133,4 @@ def exact_percentiles(
             for i, name in enumerate(names)
         ],
     )
-    if not extra:
-        return result
-    extras = stats.drop("_n", "_q")
-    if by:
-        keyed = extras.select(
-            *[F.col(c).alias(f"_k_{c}") for c in by], *[c for c in extras.columns if c not in by]
-        )
-        on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
-        return result.join(keyed, on).drop(*[f"_k_{c}" for c in by])
-    return result.withColumn("_x", shared).select(*names, *[f"_x.{c}" for c in extra_names])
+    return with_stats(result, *extra_names) if extra else result
