@@ -243,11 +243,11 @@ l AS (SELECT 'embedding' AS stage, embedding AS s FROM w UNION ALL SELECT 'searc
   UNION ALL SELECT 'formatting', formatting FROM w UNION ALL SELECT 'generation', generation FROM w
   UNION ALL SELECT 'total', embedding + search + formatting + generation FROM w),
 g AS (SELECT stage, avg(s) AS mean_s, quantile_cont(s, 0.5) AS p50_s, quantile_cont(s, 0.95) AS p95_s, sum(s) AS sum_s FROM l GROUP BY stage)
-SELECT stage, {r6("mean_s", 4)} AS mean_s, {r6("p50_s", 4)} AS p50_s, {r6("p95_s", 4)} AS p95_s,
-  {r6("sum_s / (SELECT sum_s FROM g WHERE stage = 'total') * 100", 4)} AS share_pct,
+SELECT stage, {r6("mean_s")} AS mean_s, {r6("p50_s")} AS p50_s, {r6("p95_s")} AS p95_s,
+  {r6("sum_s / (SELECT sum_s FROM g WHERE stage = 'total') * 100")} AS share_pct,
   stage = (SELECT arg_max(stage, sum_s) FROM g WHERE stage <> 'total') AS is_bottleneck FROM g""")
 def _(spark, root):
-    return rounded(mo.stage_profile(stages(spark, root), STAGES), 4)
+    return rounded(mo.stage_profile(stages(spark, root), STAGES))
 
 
 @query("service_dashboard", f"""SELECT {r6("quantile_cont(latency_ms, 0.5)")} AS p50_latency, {r6("quantile_cont(latency_ms, 0.95)")} AS p95_latency,
