@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 
-from corpusloom.llm import mixing, secret_scan, url_filter
+from corpusloom.llm import decontamination, extraction, mixing, pii_anchors, secret_scan, url_filter
 from corpusloom.llm.common import documents
 from corpusloom.sources.tables import table
 
 
+def op2_block_extraction(spark, root):
+    return extraction.extract_text(table(spark, root, "pages")).drop("html")
+
+
+def op3_fm_decontamination(spark, root):
+    return decontamination.leak_digest(documents(spark, root), table(spark, root, "benchmark"))
+
+
 def op5_source_mixing(spark, root):
     mixed = mixing.mix_sources(documents(spark, root).select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -19,9 +27,13 @@ def op7_url_filter(spark, root):
     return url_filter.filter_urls(table(spark, root, "pages").select("page_id", "url"), entries).drop("url")
 
 
+def op8_pii_anchors(spark, root):
+    return pii_anchors.pii_digest(documents(spark, root))
+
+
 def op9_secret_entropy(spark, root):
     return secret_scan.secret_digest(documents(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (op5_source_mixing, op7_url_filter, op9_secret_entropy)}
-ORACLES = {"op5_source_mixing": mixing.SQL, "op7_url_filter": url_filter.SQL}
+QUERIES = {f.__name__: f for f in (op2_block_extraction, op3_fm_decontamination, op5_source_mixing, op7_url_filter, op8_pii_anchors, op9_secret_entropy)}
+ORACLES = {"op3_fm_decontamination": decontamination.SQL, "op5_source_mixing": mixing.SQL, "op7_url_filter": url_filter.SQL}
