@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from itertools import product
 
 import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -38,7 +39,7 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|([^<]++|<)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
-FEATURES = ("words", "links", "words_before", "links_before", "words_behind", "links_behind", "article", "page_has_article", "furniture", "heading", "sentence")
+FEATURES = ("words", "links", "words_before", "links_before", "words_behind", "links_behind", "article", "outside_article", "furniture", "heading", "sentence")
 
 
 def furniture(tag: str, attributes: str, in_article: bool) -> bool:
@@ -124,7 +125,7 @@ def features(page_blocks: list[dict]) -> list[list[float]]:
         before = page_blocks[k - 1] if k else none
         behind = page_blocks[k + 1] if k + 1 < len(page_blocks) else none
         near = [b["words"], b["links"], before["words"], before["links"], behind["words"], behind["links"]]
-        rows.append([float(x) for x in (*near, b["article"], b["page_has_article"], b["furniture"], b["heading"], b["sentence"])])
+        rows.append([float(x) for x in (*near, b["article"], b["page_has_article"] and not b["article"], b["furniture"], b["heading"], b["sentence"])])
     return rows
 
 
@@ -137,19 +138,22 @@ def labelled_pages() -> list[str]:
     say = lambda n: " ".join("word" for _ in range(n)) + "."
     menu = lambda n: "".join(f"<li><a href='/x'>{'word ' * (1 + k % 3)}</a></li>" for k in range(n))
     pages = []
-    for frame in ("article", "main", "div"):
-        for length in (1, 3, 8, 20, 45, 90):
-            for paragraphs in (1, 2, 5):
-                body = f"<h1 data-main>{'word ' * min(12, length)}</h1>" + "".join(f"<p data-main>{say(length + 7 * k)}</p>" for k in range(paragraphs))
-                if frame == "div" and length < 20:
-                    continue  # too short to tell without any cue
-                inner = f"<div class='ad'>{say(25)}</div><aside><p>{say(30)}</p></aside><section class='comments'><h3>word word</h3><p>{say(40)}</p><p>{say(3)}</p></section>"
-                inner += f"<ul>{menu(5)}</ul><p><a href='/z'>{say(22)}</a></p>"
-                pages.append(
-                    f"<nav><ul>{menu(6)}</ul></nav><div class='ad'>{say(length)}</div><div class='cookie-notice'><p>{say(18)}</p></div><{frame}>{body}{inner}</{frame}>"
-                    f"<form><p>{say(9)}</p></form><div class='sidebar'><h2>word word</h2><p>{say(35)}</p></div><div><h3>word</h3><p><a href='/z'>{say(30)}</a></p></div><footer><h4>word word</h4>{say(6)}{say(length)}</footer>"
-                )
-                pages.append(f"<ul>{menu(8)}</ul><p>word word</p><{frame}>{body}</{frame}><p><a href='/y'>word word word</a> word</p><h3>word word</h3><ul>{menu(4)}</ul><p><a href='/z'>{say(28)}</a> word</p><p>word word word</p>")
+    for frame, length, side, paragraphs in product(("article", "main", "div"), (1, 3, 8, 20, 45, 90), (3, 15, 40, 100), (1, 4)):
+        body = f"<h1 data-main>{'word ' * min(12, length)}</h1>" + "".join(f"<p data-main>{say(length + 7 * k)}</p>" for k in range(paragraphs))
+        if frame != "div":
+            body += "".join(f"<p data-main>{say(k)}</p>" for k in (1, 2, 3, 4)) + "<p data-main>word</p><p data-main>word word</p>"
+        elif length < 20:
+            continue  # too short to tell without any cue
+        inner = f"<div class='ad'>{say(side)}</div><aside><p>{say(side)}</p></aside><section class='comments'><h3>word word</h3><p>{say(side)}</p><p>{say(3)}</p></section>"
+        stray = f"<p>{say(side)}</p>" if frame != "div" else "<p>word word</p>"
+        pages.append(
+            f"<nav><ul>{menu(6)}</ul></nav><div class='ad'>{say(side)}</div><div class='cookie-notice'><p>{say(side)}</p></div><{frame}>{body}{inner}</{frame}>"
+            f"<form><p>{say(9)}</p></form><div class='sidebar'><h2>word word</h2><p>{say(side)}</p></div><p><a href='/z'>{say(side)}</a></p><footer><h4>word word</h4>{say(side)}</footer>"
+        )
+        pages.append(
+            f"<ul>{menu(8)}</ul>{stray}<{frame}>{body}<ul>{menu(5)}</ul><p><a href='/z'>{say(side)}</a></p></{frame}>"
+            f"<p><a href='/y'>word word word</a> word</p><h3>word word</h3><ul>{menu(4)}</ul><p><a href='/z'>{say(side)}</a> word</p>{stray}"
+        )
     return pages
 
 
