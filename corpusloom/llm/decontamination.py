@@ -162,7 +162,7 @@ class Phrases:
             self.allowed[n][self.windows[n]] = True
 
     def symbols(self, word_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(symbol, word index) of the stretches that could hold a phrase, each followed by a break (1, -1)."""
+        """(symbol, index) of the stretches of words that could hold a phrase, each followed by a break (1, -1)."""
         if not self.lengths:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         start, end = H.runs(self.maybe[(word_hashes & np.uint64(self.maybe.size - 1)).astype(np.int64)])
@@ -183,11 +183,10 @@ class Phrases:
         return (np.concatenate(out), np.concatenate(at)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def find(shard: list[tuple[int, np.ndarray, np.ndarray]], phrases: Phrases) -> dict[int, tuple[list[tuple[int, int]], set[str]]]:
-    """Merged word spans and items of each document of a shard of (document, symbols, word indexes)."""
-    doc = np.concatenate([np.full(len(s), d) for d, s, _ in shard])
-    word = np.concatenate([w for _, _, w in shard])
-    index = FMIndex(np.concatenate([s for _, s, _ in shard]))
+def find(shard: list[tuple[np.ndarray, np.ndarray, np.ndarray]], phrases: Phrases) -> dict[int, tuple[list[tuple[int, int]], set[str]]]:
+    """Merged word spans and items of each document of a shard of (documents, symbols, word indexes)."""
+    doc, word = np.concatenate([x[0] for x in shard]), np.concatenate([x[2] for x in shard])
+    index = FMIndex(np.concatenate([x[1] for x in shard]))
     cover = np.zeros(len(doc) + 1, np.int64)
     named: dict[int, set[str]] = {}
     for n in phrases.lengths:
@@ -229,13 +228,19 @@ def _search(phrases, names: tuple[str, str, str]):
         held = Phrases.__new__(Phrases)  # broadcast as plain values: the package is not installed on executors
         held.__dict__.update(phrases.value)
         for batch in batches:
-            n_words, found, shard, size = [], {}, [], 0
-            for d, text in enumerate(text_bytes(batch.column("text"))):
-                words = H.words(text, H.NOT_WORD)[0]
-                n_words.append(len(words))
-                sym, at = held.symbols(words)
+            n_words, found, shard, size = np.zeros(batch.num_rows, np.int64), {}, [], 0
+            for numbers, buffer, starts in H.chunks(text_bytes(batch.column("text"))):
+                words, start, _ = H.words(buffer, H.NOT_WORD)
+                owner = H.owners(starts, start)
+                count = np.bincount(owner, minlength=len(numbers))
+                n_words[numbers] = count
+                first = np.cumsum(count) - count  # index of each document's first word
+                # a break between documents: no phrase crosses it
+                sym, at = held.symbols(np.insert(words, first, 0))
                 if len(sym):
-                    shard.append((d, sym, at))
+                    place = np.maximum(at, 0)
+                    d = np.searchsorted(first + np.arange(len(first)), place, side="right") - 1
+                    shard.append((np.where(at < 0, -1, numbers[d]), sym, place - first[d] - d - 1))
                     size += len(sym)
                 if size >= SHARD_SYMBOLS:
                     found |= find(shard, held)

@@ -83,3 +83,22 @@ def shingles(word_hashes: np.ndarray, size: int) -> np.ndarray:
         for k in range(size):
             out = mix(out * U(0x9FB21C651E98DF25) ^ word_hashes[k : k + n])
     return np.unique(out)
+
+
+def chunks(texts, most_bytes: int = 1 << 20):
+    """Join texts (bytes) with spaces into buffers of about ``most_bytes``: (numbers of the texts, buffer, text starts)."""
+    held, start, at, first = [], [], 0, 0
+    for k, t in enumerate(texts):
+        if held and at + len(t) > most_bytes:
+            yield np.arange(first, k), b" ".join(held), np.array(start)
+            held, start, at, first = [], [], 0, k
+        held.append(t)
+        start.append(at)
+        at += len(t) + 1
+    if held:
+        yield np.arange(first, first + len(held)), b" ".join(held), np.array(start)
+
+
+def owners(text_starts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Index of the text in which each place of a buffer lies."""
+    return np.searchsorted(text_starts, places, side="right") - 1

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 
-from corpusloom.llm import decontamination, extraction, mixing, pii_anchors, secret_scan, url_filter
+from corpusloom.llm import decontamination, extraction, importance, mixing, pii_anchors, secret_scan, url_filter
 from corpusloom.llm.common import documents
 from corpusloom.sources.tables import table
 
 
+def op1_importance_resampling(spark, root):
+    scores, _ = importance.resample(documents(spark, root), table(spark, root, "labels"))
+    return scores.where("kept")
+
+
 def op2_block_extraction(spark, root):
     return extraction.extract_text(table(spark, root, "pages")).drop("html")
 
@@ -35,5 +40,5 @@ def op9_secret_entropy(spark, root):
     return secret_scan.secret_digest(documents(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (op2_block_extraction, op3_fm_decontamination, op5_source_mixing, op7_url_filter, op8_pii_anchors, op9_secret_entropy)}
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_block_extraction, op3_fm_decontamination, op5_source_mixing, op7_url_filter, op8_pii_anchors, op9_secret_entropy)}
 ORACLES = {"op3_fm_decontamination": decontamination.SQL, "op5_source_mixing": mixing.SQL, "op7_url_filter": url_filter.SQL}
