@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from corpusloom.llm import decontamination, extraction, importance, mixing, pii_anchors, secret_scan, url_filter
+from corpusloom.llm import decontamination, extraction, importance, mixing, pii_anchors, secret_scan, tensored_minhash, url_filter
 from corpusloom.llm.common import documents
 from corpusloom.sources.tables import table
 
@@ -40,5 +40,9 @@ def op9_secret_entropy(spark, root):
     return secret_scan.secret_digest(documents(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_block_extraction, op3_fm_decontamination, op5_source_mixing, op7_url_filter, op8_pii_anchors, op9_secret_entropy)}
+def op10_tensored_minhash(spark, root):
+    return tensored_minhash.near_duplicates(documents(spark, root), shingle=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_block_extraction, op3_fm_decontamination, op5_source_mixing, op7_url_filter, op8_pii_anchors, op9_secret_entropy, op10_tensored_minhash)}
 ORACLES = {"op3_fm_decontamination": decontamination.SQL, "op5_source_mixing": mixing.SQL, "op7_url_filter": url_filter.SQL}
