@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from corpusloom.llm import decontamination, extraction, importance, mixing, pii_anchors, secret_scan, tensored_minhash, url_filter
+from corpusloom.llm import decontamination, extraction, importance, mixing, pii_anchors, secret_scan, tensored_minhash, url_filter, vector_graph
 from corpusloom.llm.common import documents
 from corpusloom.sources.tables import table
 
@@ -26,6 +26,10 @@ def op5_source_mixing(spark, root):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_vector_graph(spark, root):
+    return vector_graph.near_vectors(table(spark, root, "embeddings"))
+
+
 def op7_url_filter(spark, root):
     named = [(*r, True) for r in url_filter.RULES] + [(*s, "block", False) for s in url_filter.BAD_SITES]
     entries = spark.createDataFrame(named, "host string, path string, verdict string, named boolean")
@@ -44,5 +48,5 @@ def op10_tensored_minhash(spark, root):
     return tensored_minhash.near_duplicates(documents(spark, root), shingle=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_block_extraction, op3_fm_decontamination, op5_source_mixing, op7_url_filter, op8_pii_anchors, op9_secret_entropy, op10_tensored_minhash)}
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_block_extraction, op3_fm_decontamination, op5_source_mixing, op6_vector_graph, op7_url_filter, op8_pii_anchors, op9_secret_entropy, op10_tensored_minhash)}
 ORACLES = {"op3_fm_decontamination": decontamination.SQL, "op5_source_mixing": mixing.SQL, "op7_url_filter": url_filter.SQL}
