@@ -154,7 +154,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: int
     across = one.join(two, (F.col("one.k") == F.col("two.k")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.component") != F.col("two.component")) & (F.lit(100) * F.least("one.n", "two.n") >= F.lit(percent) * F.greatest("one.n", "two.n")))
     across = across.where("one.low <> one.id").select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
     more = materialise(confirm(across, docs, shingle, percent), "minhash-more")
-    parts = materialise(connected_components(links.union(more), "minhash-components"), "minhash-parts")
+    parts = materialise(connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "minhash-components"), "minhash-parts")
     # classes to components, then rows to classes; both joins are between written tables
     of_class = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(F.col("set_key").alias("key"), F.coalesce("component", "id").alias("found"))
     of_class = materialise(of_class, "minhash-of-class")
