@@ -1,5 +1,5 @@
-"""Document chunking. The split itself is a small helper per text inside an Arrow UDF; numbering,
-metadata and statistics are plain columns."""
+"""Document chunking. Greedy and paragraph chunks, numbering, metadata and statistics are plain columns; sentence-word and
+recursive splits are small helpers per text inside an Arrow UDF."""
 
 from __future__ import annotations
 
@@ -43,18 +43,6 @@ def sentence_word_chunks(text: str, size: int = WORDS_PER_CHUNK, overlap: int =
     return [" ".join(words[a:b]) for i, (a, b) in enumerate(bounds) if b > a or (faithful and i < last)]
 
 
-def greedy_chunks(text: str, size: int = GREEDY_CHARS) -> list[str]:
-    """Sentences are added until their summed length passes ``size``; joining spaces do not count."""
-    chunks, held, total = [], [], 0
-    for sentence in SENTENCE_GAP.split(text.strip(WS_CHARS)):
-        held.append(sentence)
-        total += len(sentence)
-        if total > size:
-            chunks.append(" ".join(held))
-            held, total = [], 0
-    return chunks + [" ".join(held)] if held else chunks
-
-
 def _pieces(text: str, lo: int, hi: int, sep: str) -> list[tuple[int, int]]:
     """Spans of text[lo:hi] that start at each occurrence of ``sep`` (at each character if empty)."""
     if sep:
@@ -104,41 +92,6 @@ def recursive_chunks(
     return [c for c in (text[a:b].strip() for a, b in walk(0, len(text), 0)) if c]
 
 
-def paragraph_chunks(text: str, size: int = PARAGRAPH_CHARS, separator: str = "\n\n", mode: str = "fixed") -> list[str]:
-    """Paragraphs are packed up to ``size``; a longer one is packed by sentence.
-
-    ``faithful`` repeats the text before a too long paragraph in the chunk after it and keeps empty
-    chunks; ``fixed`` does neither.
-    """
-    chunks, buffer = [], ""
-
-    def close() -> None:
-        piece = buffer.strip()
-        if piece or (buffer and mode == "faithful"):
-            chunks.append(piece)
-
-    for paragraph in text.split(separator):
-        if len(buffer) + len(paragraph) <= size:
-            buffer += paragraph + separator
-            continue
-        close()
-        if len(paragraph) <= size:
-            buffer = paragraph + separator
-            continue
-        if mode == "fixed":
-            buffer = ""
-            sentences = re.split(r"(?<=\.) ", paragraph)
-        else:
-            sentences = [s for part in paragraph.split("|") for s in re.split(r"(?<=\.) ", part)]
-        for sentence in sentences:
-            if len(buffer) + len(sentence) > size:
-                close()
-                buffer = ""
-            buffer += sentence + " "
-    close()
-    return chunks
-
-
 def chunk_array(text: Column, splitter: Callable[[str], list[str]]) -> Column:
     """``array<string>`` of a splitter's chunks, run over Arrow batches."""
 
@@ -152,8 +105,59 @@ def sentence_word_array(text: Column, size: int = WORDS_PER_CHUNK, overlap: int
     return chunk_array(text, partial(sentence_word_chunks, size=size, overlap=overlap, faithful=faithful))
 
 
+def _fold_bounds(pieces: Column, size: int, keep_open: bool) -> Column:
+    """Chunk bounds (first piece, piece behind the last) over pieces (text, glue, cut).
+
+    The fold holds the length of the open chunk and where it starts. A ``cut`` piece closes the chunk in front of it
+    (``keep_open`` lets it go on all the same), and so does a piece that does not fit.
+    """
+    bound = lambda lo, hi: F.array(F.struct(lo.alias("lo"), hi.alias("hi")))
+    none = F.array().cast("array<struct<lo:int,hi:int>>")
+
+    def step(state, piece):
+        cleared = piece["cut"] & F.lit(not keep_open)
+        held = F.when(cleared, F.lit(0)).otherwise(state["held"])
+        lo = F.when(cleared, state["at"]).otherwise(state["lo"])
+        over = held + F.length(piece["text"]) > size
+        closed = F.concat(
+            state["bounds"],
+            F.when(piece["cut"], bound(state["lo"], state["at"])).otherwise(none),
+            F.when(over, bound(lo, state["at"])).otherwise(none),
+        )
+        return F.struct(
+            (F.when(over, F.lit(0)).otherwise(held) + F.length(piece["text"]) + F.length(piece["glue"])).alias("held"),
+            F.when(over, state["at"]).otherwise(lo).alias("lo"),
+            (state["at"] + 1).alias("at"),
+            closed.alias("bounds"),
+        )
+
+    start = F.struct(F.lit(0).alias("held"), F.lit(0).alias("lo"), F.lit(0).alias("at"), none.alias("bounds"))
+    return F.aggregate(pieces, start, step, lambda s: F.concat(s["bounds"], bound(s["lo"], s["at"])))
+
+
 def greedy_array(text: Column, size: int = GREEDY_CHARS) -> Column:
-    return chunk_array(text, partial(greedy_chunks, size=size))
+    """A chunk ends with the sentence whose running length, joining spaces left out, passes ``size``."""
+    sentences = F.split(F.regexp_replace(text, r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", ""), SENTENCE_GAP.pattern, -1)
+
+    def step(state, n):
+        total = state["total"] + n
+        return F.struct(
+            F.when(total > size, F.lit(0)).otherwise(total).alias("total"),
+            (state["at"] + 1).alias("at"),
+            F.when(total > size, F.concat(state["ends"], F.array(state["at"] + 1))).otherwise(state["ends"]).alias("ends"),
+        )
+
+    start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
+    ends = lambda s: F.aggregate(F.transform(s, F.length), start, step, lambda x: F.array_distinct(F.concat(x["ends"], F.array(x["at"]))))
+    # sentences and ends are computed once, in the one element of an array
+    both = F.transform(F.array(sentences), lambda s: F.struct(s.alias("s"), ends(s).alias("e")))
+    return F.element_at(
+        F.transform(both, lambda x: F.transform(x["e"], lambda hi, i: _joined(x["s"], F.when(i > 0, F.get(x["e"], i - 1)).otherwise(F.lit(0)), hi, " "))), 1
+    )
+
+
+def _joined(parts: Column, lo: Column, hi: Column, glue: str) -> Column:
+    return F.array_join(F.slice(parts, lo + 1, hi - lo), glue)
 
 
 def recursive_array(text: Column, size: int = RECURSIVE_CHARS, overlap: int = RECURSIVE_OVERLAP) -> Column:
@@ -161,7 +165,33 @@ def recursive_array(text: Column, size: int = RECURSIVE_CHARS, overlap: int = RE
 
 
 def paragraph_array(text: Column, size: int = PARAGRAPH_CHARS, separator: str = "\n\n", mode: str = "fixed") -> Column:
-    return chunk_array(text, partial(paragraph_chunks, size=size, separator=separator, mode=mode))
+    """Paragraphs are packed up to ``size``; a longer one is packed by sentence.
+
+    ``faithful`` repeats the text before a too long paragraph in the chunk after it and keeps empty
+    chunks; ``fixed`` does neither.
+    """
+    faithful = mode == "faithful"
+    sentences = lambda p: F.split(p, r"(?<=\.) ", -1)
+    split_long = (lambda p: F.flatten(F.transform(F.split(p, r"\|", -1), sentences))) if faithful else sentences
+    piece = lambda t, glue, cut: F.struct(t.alias("text"), F.lit(glue).alias("glue"), cut.alias("cut"))
+    pieces = F.flatten(
+        F.transform(
+            F.split(text, re.escape(separator), -1),
+            lambda p: F.when(F.length(p) <= size, F.array(piece(p, separator, F.lit(False)))).otherwise(
+                F.transform(split_long(p), lambda s, i: piece(s, " ", i == 0))
+            ),
+        )
+    )
+    both = F.transform(F.array(pieces), lambda x: F.struct(x.alias("p"), _fold_bounds(x, size, faithful).alias("b")))
+    content = lambda p, b: F.array_join(F.transform(F.slice(p, b["lo"] + 1, b["hi"] - b["lo"]), lambda x: F.concat(x["text"], x["glue"])), "")
+    chunks = F.transform(
+        both,
+        lambda x: F.transform(
+            F.filter(x["b"], lambda b: b["hi"] > b["lo"]), lambda b: F.regexp_replace(content(x["p"], b), r"^\s+|\s+$", "")
+        ),
+    )
+    found = F.element_at(chunks, 1)
+    return found if faithful else F.filter(found, lambda c: c != "")
 
 
 def explode_chunks(docs: DataFrame, chunks: Column, keep: Sequence[str], id_col: str = "doc_id") -> DataFrame:

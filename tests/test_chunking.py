@@ -1,6 +1,8 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from corpusloom.operators import chunking as ck
 
 
@@ -10,15 +12,20 @@ def test_sentence_word_chunks_case():
     assert ck.sentence_word_chunks(text, 5, 2) == ["a b c d e f.", "e f. g h i.", "h i. j k."]
 
 
-def test_greedy_chunks_close_after_the_passing_sentence():
-    assert ck.greedy_chunks("Aaaa. Bbbb. Cc.", 8) == ["Aaaa. Bbbb.", "Cc."]
-    assert ck.greedy_chunks("One.", 8) == ["One."]
+def chunks_of(spark, text, array):
+    return spark.createDataFrame([(text,)], "t string").select(array(F.col("t"))).first()[0]
+
+
+def test_greedy_chunks_close_after_the_passing_sentence(spark):
+    assert chunks_of(spark, "Aaaa. Bbbb. Cc.", lambda t: ck.greedy_array(t, 8)) == ["Aaaa. Bbbb.", "Cc."]
+    assert chunks_of(spark, " One. ", lambda t: ck.greedy_array(t, 8)) == ["One."]
+    assert chunks_of(spark, None, ck.greedy_array) is None
 
 
-def test_paragraph_chunks_modes():
+def test_paragraph_chunks_modes(spark):
     text = "Intro.\n\nAaaa bbbb. Cccc dddd. Eeee ffff."
-    assert ck.paragraph_chunks(text, 20, mode="faithful") == ["Intro.", "Intro.\n\nAaaa bbbb.", "Cccc dddd.", "Eeee ffff."]
-    assert ck.paragraph_chunks(text, 20) == ["Intro.", "Aaaa bbbb.", "Cccc dddd.", "Eeee ffff."]
+    assert chunks_of(spark, text, lambda t: ck.paragraph_array(t, 20, mode="faithful")) == ["Intro.", "Intro.\n\nAaaa bbbb.", "Cccc dddd.", "Eeee ffff."]
+    assert chunks_of(spark, text, lambda t: ck.paragraph_array(t, 20)) == ["Intro.", "Aaaa bbbb.", "Cccc dddd.", "Eeee ffff."]
 
 
 def test_recursive_chunks_overlap():
