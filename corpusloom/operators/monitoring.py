@@ -114,13 +114,14 @@ def anomalies(log: DataFrame, baseline: DataFrame, latency_sigmas: float = 3.0,
     """Rows (kind, request_id, value, score), one per request and violated test."""
     b = F.col("b")
     lat, tok = F.col("latency_ms"), F.col("total_tokens")
-    z_lat = (lat - b["latency_mean"]) / b["latency_std"]
-    z_tok = (tok - b["tokens_mean"]) / b["tokens_std"]
+    # a constant measure has no deviation: its score is null and no row is reported
+    z_lat = F.try_divide(lat - b["latency_mean"], b["latency_std"])
+    z_tok = F.try_divide(tok - b["tokens_mean"], b["tokens_std"])
     def found(cond, kind, value, score):
         return F.when(cond, F.struct(F.lit(kind).alias("kind"), value.cast("double").alias("value"), score.alias("score")))
     checks = F.array_compact(F.array(
         found(F.abs(z_lat) > latency_sigmas, "latency_zscore", lat, z_lat),
-        found(lat > b["latency_p99"], "latency_percentile", lat, lat / b["latency_p99"]),
+        found(lat > b["latency_p99"], "latency_percentile", lat, F.try_divide(lat, b["latency_p99"])),
         found(lat > b["latency_iqr_high"], "latency_iqr", lat, lat / b["latency_iqr_high"]),
         found(F.abs(z_tok) > token_sigmas, "token_zscore", tok, z_tok),
     ))

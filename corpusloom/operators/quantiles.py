@@ -26,9 +26,12 @@ def as_row(df: DataFrame) -> Column:
     """A one-row frame as a struct column.
 
     The row is computed once, here, and enters later plans as a scalar subquery over a local row. Plans
-    that use it in many places neither repeat its jobs nor grow by its plan.
+    that use it in many places neither repeat its jobs nor grow by its plan. A second row is an error.
     """
-    local = df.sparkSession.createDataFrame(df.limit(1).collect(), df.schema)
+    rows = df.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("as_row needs a frame of one row")
+    local = df.sparkSession.createDataFrame(rows, df.schema)
     return local.select(F.struct("*").alias("row")).scalar()
 
 

@@ -2,7 +2,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from corpusloom.operators.quantiles import exact_percentiles
+from corpusloom.operators.monitoring import anomalies
+from corpusloom.operators.quantiles import as_row, exact_percentiles
 
 WANTED = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
@@ -27,3 +28,15 @@ def test_nearest_rank(spark):
     ten = spark.range(1, 11).selectExpr("cast(id as double) v")
     assert exact_percentiles(twenty, "v", {"p": 0.95}, method="nearest").first().p == 20
     assert exact_percentiles(ten, "v", {"p": 0.95}, method="nearest").first().p == 10
+
+
+def test_as_row_refuses_a_second_row(spark):
+    with pytest.raises(ValueError):
+        as_row(spark.range(2))
+    assert spark.range(1).select(as_row(spark.range(7, 8))["id"]).first()[0] == 7
+
+
+def test_anomalies_of_a_constant_measure(spark):
+    log = spark.createDataFrame([(k, 5.0, 10) for k in range(4)], "request_id bigint, latency_ms double, total_tokens bigint")
+    base = spark.createDataFrame([(5.0, 0.0, 0.0, 9.0, 10.0, 0.0)], "latency_mean double, latency_std double, latency_p99 double, latency_iqr_high double, tokens_mean double, tokens_std double")
+    assert {r.kind for r in anomalies(log, base).collect()} == {"latency_percentile"}
