@@ -6,9 +6,11 @@ for the price of 48. At similarity 0.8 a pair is missed by all tables with proba
 
 Equal sets are one class; only a class's smallest id goes on. In each bucket every member is paired with the smallest id
 (no pairs within the bucket), the pairs are confirmed on the full sets, and linked documents are joined to components.
-Buckets that still hold several components then give their pairs across components, which are confirmed as well: so each
-pair that shares a bucket is either confirmed, refuted or already in one component, and nothing is capped. Sets are built
-only for documents of candidate pairs.
+Buckets that still hold several components are not paired out either: a crowd of variants of one text, each below the
+threshold to the others, would give the square of its size. Their documents go through an exact prefix join instead. All
+sets are ordered alike, rare shingles first; two sets that are similar enough share a shingle near both fronts, with enough
+left behind it, so only such pairs are confirmed. So each pair that shares a bucket is confirmed, refuted by its prefixes
+or already in one component, and nothing is capped. Sets are built only for documents of candidate pairs and such buckets.
 
 Keys are counted before members are joined to them, and both sides of that join are plain scans, so a key that holds a
 third of all documents is split like any skewed join.
@@ -32,6 +34,7 @@ from corpusloom.llm.common import connected_components, fresh, materialise
 from corpusloom.llm.decontamination import text_bytes
 
 COLLECTIONS, ROWS = 16, 3
+ORDER_BITS = 18  # shingle frequencies are counted in 2**18 classes: any order is exact, a good one is quick
 PERCENT = 80
 SHINGLE_WORDS = 5
 
@@ -100,11 +103,64 @@ def full_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     return wanted.mapInArrow(run, "id bigint, members binary").dropDuplicates(["id"])
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
-    pairs = materialise(pairs, "minhash-pairs")
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold shingles of each class (hash modulo 2**ORDER_BITS): a table of fixed size."""
+
+    def run(batches):
+        total = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            for s in batch.column("members"):
+                total += np.bincount((np.frombuffer(s.as_buffer(), np.uint64) & np.uint64((1 << ORDER_BITS) - 1)).astype(np.int64), minlength=1 << ORDER_BITS)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["class", "n"])
+
+    found = sets.select("members").mapInArrow(run, "class bigint, n bigint").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << ORDER_BITS, np.int64)
+    counts[found.column("class").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def prefix_pairs(sets: DataFrame, of: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that can be similar enough, by an exact prefix join.
+
+    ``sets`` has (id, members), ``of`` has (id, component). Shingles are ordered by (count of their class, hash). If two
+    sets are similar enough, their first common shingle has enough shingles from its place on in both sets; the larger
+    set's lies in its first (1 - t) part, the smaller set's in its first 1 - 2t / (1 + t) part.
+    """
+    counts = shingle_counts(sets)
+
+    def run(batches):
+        for batch in batches:
+            ids, tokens, places, sizes = [], [], [], []
+            for k, s in enumerate(batch.column("members")):
+                x = np.frombuffer(s.as_buffer(), np.uint64)
+                n = len(x)
+                length = n - -(-percent * n // 100) + 1
+                front = np.lexsort((x, counts[(x & np.uint64((1 << ORDER_BITS) - 1)).astype(np.int64)]))[:length]
+                ids.append(np.full(len(front), k))
+                tokens.append(x[front].view(np.int64))
+                places.append(np.arange(len(front)))
+                sizes.append(np.full(len(front), n))
+            if ids:
+                at = np.concatenate(ids)
+                columns = [batch.column("id").take(pa.array(at)), batch.column("component").take(pa.array(at))]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(np.concatenate(c)) for c in (tokens, places, sizes)], names=["id", "component", "token", "place", "n"])
+
+    fronts = sets.join(of, "id").select("id", "component", "members").mapInArrow(run, "id bigint, component bigint, token bigint, place bigint, n bigint")
+    fronts = materialise(fronts, "minhash-fronts")
+    short = fronts.where(F.expr(f"(n - place) * {100 + percent} >= {2 * percent} * n")).alias("x")
+    both = short.join(fronts.alias("y"), F.expr("x.token = y.token AND struct(x.n, x.id) < struct(y.n, y.id) AND x.component <> y.component") & F.expr(f"100 * x.n >= {percent} * y.n AND least(x.n - x.place, y.n - y.place) * {100 + percent} >= {percent} * (x.n + y.n)"))
+    return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def sets_of(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """The full sets of the documents named in ``pairs`` (a, b), written."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = materialise(full_sets(docs, materialise(ids, "minhash-ids"), shingle), "minhash-sets")
+    return materialise(full_sets(docs, materialise(ids, "minhash-ids"), shingle), "minhash-sets")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
 
     def run(batches):
         for batch in batches:
@@ -143,17 +199,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, percent: int
         both = pairs.join(sizes.select(F.col("s").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("s").alias("b"), F.col("n").alias("nb")), "b")
         return both.where(fits).select("a", "b")
 
-    links = materialise(confirm(sized(stars.distinct()), docs, shingle, percent), "minhash-links")
+    pairs = materialise(sized(stars.distinct()), "minhash-pairs")
+    links = materialise(confirm(pairs, sets_of(pairs, docs, shingle), percent), "minhash-links")
     parts = materialise(connected_components(links, "minhash-components"), "minhash-parts")
-    # crowded buckets that hold more than one component give their pairs across components
-    placed = crowded.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # documents of crowded buckets that hold more than one component are compared across components by their prefixes
+    placed = crowded.join(parts.withColumnRenamed("node", "id"), "id", "left").select("k", "id", F.coalesce("component", "id").alias("component"))
     placed = materialise(placed, "minhash-placed")
     mixed = placed.groupBy("k").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("k")
-    rest = materialise(placed.join(mixed, "k"), "minhash-mixed")
-    one, two = rest.alias("one"), rest.alias("two")
-    across = one.join(two, (F.col("one.k") == F.col("two.k")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.component") != F.col("two.component")) & (F.lit(100) * F.least("one.n", "two.n") >= F.lit(percent) * F.greatest("one.n", "two.n")))
-    across = across.where("one.low <> one.id").select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
-    more = materialise(confirm(across, docs, shingle, percent), "minhash-more")
+    rest = placed.join(materialise(mixed, "minhash-mixed"), "k").groupBy("id").agg(F.min("component").alias("component"))
+    rest = materialise(rest, "minhash-rest")
+    sets = materialise(full_sets(docs, rest.select("id"), shingle), "minhash-sets")
+    more = confirm(materialise(prefix_pairs(sets, rest, percent), "minhash-pairs"), sets, percent)
     parts = materialise(connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "minhash-components"), "minhash-parts")
     # classes to components, then rows to classes; both joins are between written tables
     of_class = classes.join(parts.withColumnRenamed("node", "id"), "id", "left").select(F.col("set_key").alias("key"), F.coalesce("component", "id").alias("found"))

@@ -267,6 +267,26 @@ def test_minhash(spark, size):
     assert all(got[i].n_shingles == len(s) and got[i].kept == (i is None or top(i) == i) for i, s in sets.items())
 
 
+def test_prefix_pairs(spark):
+    pick = random.Random(11)
+    base = [pick.getrandbits(64) for _ in range(120)]
+    sets = []
+    for k in range(150):  # a crowd of variants of one set, most of them under the threshold to each other, and a few small sets
+        kept = pick.sample(base, 120 - pick.choice((2, 5, 10, 14, 30)))
+        sets.append(set(kept) | {pick.getrandbits(64) for _ in range(pick.choice((0, 3, 12, 25)))})
+    sets += [set(base[:k]) for k in range(1, 12)]
+    likeness = {(x, y): (len(sets[x] & sets[y]), len(sets[x] | sets[y])) for x in range(len(sets)) for y in range(x + 1, len(sets))}
+    close = {p for p, (both, either) in likeness.items() if 100 * both >= 80 * either}
+    rows = [(k, np.sort(np.array(list(s), np.uint64)).tobytes()) for k, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "id bigint, members binary")
+    pairs = tensored_minhash.prefix_pairs(frame, frame.select("id", F.col("id").alias("component")), 80)
+    got = {(r.a, r.b) for r in pairs.collect()}
+    assert close and close <= got and len(got) < len(likeness) // 2
+    assert {(r.a, r.b) for r in tensored_minhash.confirm(pairs, frame, 80).collect()} == close
+    one = tensored_minhash.prefix_pairs(frame, frame.select("id", F.lit(0).cast("bigint").alias("component")), 80)
+    assert one.isEmpty() and tensored_minhash.prefix_pairs(frame.limit(0), frame.select("id", F.col("id").alias("component")), 80).isEmpty()
+
+
 def test_components(spark):
     pick = random.Random(5)
     edges = [(pick.randrange(200), pick.randrange(200)) for _ in range(110)] + [(500 + k, 501 + k) for k in range(40)] + [(900, 900 + k) for k in range(60)]
