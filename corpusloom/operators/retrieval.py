@@ -31,7 +31,8 @@ MIN_TAIL = 100
 # ---- vector search
 
 def vector_search(vectors: DataFrame, queries: DataFrame, k: int, filtered: bool = False, exclude_self: bool = True, floor: float | None = None, **limits) -> DataFrame:
-    """``vectors``: (id, embedding[, category]); ``queries``: (query_id, query_vec[, category])."""
+    """``vectors``: (id, embedding[, category]); ``queries``: (query_id, query_vec[, category]). Null vectors match nothing."""
+    vectors, queries = (side.where(F.col(side.columns[1]).isNotNull()) for side in (vectors, queries))
     return top_hits(vectors, queries, partial(CosineScorer, filtered=filtered, exclude_self=exclude_self, floor=floor), k, **limits)
 
 
@@ -140,8 +141,8 @@ def with_text(hits: DataFrame, docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def hybrid_search(vectors: DataFrame, queries: DataFrame, docs: DataFrame, k: int = 5, semantic: float = SEMANTIC_WEIGHT, keyword: float = KEYWORD_WEIGHT, **limits) -> DataFrame:
-    """Take 2k by vector, then rank by a weighted sum of cosine and the share of query terms found."""
-    wide = vector_search(vectors, queries.select("query_id", "query_vec"), 2 * k, **limits)
+    """Take 2k by vector among vectors with a document, then rank by a weighted sum of cosine and the share of query terms found."""
+    wide = vector_search(vectors.join(docs.select(F.col("doc_id").alias(vectors.columns[0])), vectors.columns[0], "left_semi"), queries.select("query_id", "query_vec"), 2 * k, **limits)
     terms = queries.select("query_id", tx.terms_without(F.col("question"), HYBRID_STOP).alias("terms"))
     found = F.size(F.filter("terms", lambda t: F.contains(F.lower("content"), t)))
     share = F.when(F.size("terms") > 0, found / F.size("terms")).otherwise(0.0)

@@ -127,7 +127,7 @@ def _(spark, root):
 HYB_TERMS = f"list_filter(list_distinct({TOK}), lambda w: NOT list_contains({sql_list(rt.HYBRID_STOP)}, w))"
 
 
-@query("hybrid_search", f"""WITH {vector_cte('w', 10)},
+@query("hybrid_search", f"""WITH {vector_cte('w', 10, 'AND vec_id IN (SELECT doc_id FROM v_docs)')},
 s AS (SELECT w.query_id, hit_id, score AS semantic_score,
   CASE WHEN len(terms) > 0 THEN len(list_filter(terms, lambda x: contains(lower(content), x))) / CAST(len(terms) AS DOUBLE) ELSE 0 END AS kw
   FROM w JOIN v_docs ON doc_id = hit_id JOIN (SELECT query_id, {HYB_TERMS} AS terms FROM v_question_vectors) t ON t.query_id = w.query_id)

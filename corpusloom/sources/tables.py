@@ -42,8 +42,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def table_stream(spark: SparkSession, root: str, name: str, bytes_per_trigger: int = 4 * 1024**3) -> DataFrame:
     """The same table as a file stream, with micro-batches of bounded size."""
-    reader = spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet*")
-    return reader.option("maxBytesPerTrigger", bytes_per_trigger).parquet(root)
+    # the glob finds a single file as well as a folder of part files
+    reader = spark.readStream.schema(SCHEMAS[name]).option("maxBytesPerTrigger", bytes_per_trigger)
+    return reader.parquet(f"{table_path(root, name)}*")
 
 
 def whole_documents(spark: SparkSession, path: str) -> DataFrame:

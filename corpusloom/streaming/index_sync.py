@@ -15,8 +15,8 @@ INDEX_DDL = (
 )
 
 
-def index_state(spark: SparkSession, path: str) -> DataFrame:
-    """The merged index: per document the chunks of its newest batch.
+def stored_state(spark: SparkSession, path: str) -> DataFrame:
+    """The merged index: per document the chunks of its newest batch; one removed there has a row without a chunk.
 
     Only (doc_id, batch_id) is aggregated; the chunks are joined to it without a shuffle of older versions' text.
     """
@@ -30,27 +30,45 @@ def index_state(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(newest, ["doc_id", "batch_id"], "left_semi")
 
 
-def merge_batch(path: str):
-    """A ``foreachBatch`` function. Each batch owns one folder, so a repeated batch overwrites itself."""
+def index_state(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of the merged index."""
+    return stored_state(spark, path).where("chunk_id IS NOT NULL")
+
+
+def newest_versions(batch: DataFrame, version: str) -> DataFrame:
+    """One row per document: the one with the greatest ``version`` (ties: the greatest content, null lowest)."""
+    row = F.struct(version, "content")
+    return batch.groupBy("doc_id").agg(F.max(row).alias("_row")).select("doc_id", F.col("_row.content").alias("content"))
+
+
+def merge_batch(path: str, version: str | None = None):
+    """A ``foreachBatch`` function. Each batch owns one folder, so a repeated batch overwrites itself.
+
+    With ``version``, only the newest row of each document in the batch counts. A document whose content is null or
+    gives no chunk is removed: its row without a chunk replaces the older chunks.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        hashed = batch.withColumn("doc_hash", F.xxhash64("content"))
-        known = index_state(spark, path).where(F.col("batch_id") < batch_id).select("doc_id", "doc_hash").distinct()
+        rows = newest_versions(batch, version) if version else batch
+        hashed = rows.withColumn("doc_hash", F.xxhash64("content"))
+        known = stored_state(spark, path).where(F.col("batch_id") < batch_id).select("doc_id", "doc_hash").distinct()
         changed = hashed.join(known, ["doc_id", "doc_hash"], "left_anti")
-        chunks = explode_chunks(changed, greedy_array(F.col("content")), ["doc_hash"])
+        parts = greedy_array(F.col("content"))
+        chunks = explode_chunks(changed, parts, ["doc_hash"])
         indexed = hashed_embeddings(chunks, "content", weighted=False)
         cols = [c.split()[0] for c in INDEX_DDL.split(", ")][:-1]
-        indexed.select(*cols).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        removed = changed.where(F.coalesce(F.size(parts), F.lit(0)) <= 0).select("doc_id", "doc_hash")
+        indexed.select(*cols).unionByName(removed, allowMissingColumns=True).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return merge
 
 
-def sync_index(docs: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+def sync_index(docs: DataFrame, path: str | None = None, checkpoint: str | None = None, version: str | None = None) -> DataFrame:
     """Run the refresh over all available input and return the merged index."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "index")
     checkpoint = checkpoint or scratch_path(spark, "index-checkpoint")
-    q = docs.writeStream.foreachBatch(merge_batch(path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = docs.writeStream.foreachBatch(merge_batch(path, version)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return index_state(spark, path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import stateful as sf
 from corpusloom.streaming import stateful as st
+from corpusloom.sources.tables import table_stream
 from corpusloom.streaming.index_sync import index_state, sync_index
 
 S = sf.SECOND
@@ -110,3 +111,22 @@ def test_index_sync_in_batches(spark, tmp_path):
     assert got[2].b == 1 and got[2].c == "Two changed text." and got[2].n == 1
     assert got[3].b == 1
     assert index_state(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_index_sync_versions_and_deletes(spark, tmp_path):
+    ddl = "doc_id long, content string, version long"
+    batches = [[(1, "One.", 1), (2, "Two.", 1), (3, "Three.", 1)], [(1, "One, older.", 2), (1, "One, newest.", 3), (2, "Two, for a moment.", 2), (2, None, 3), (3, "", 2), (4, None, 1)], [(2, "Two is back.", 4)]]
+    src, path, ck = str(tmp_path / "src"), str(tmp_path / "ix"), str(tmp_path / "ck")
+    want = [{1: "One.", 2: "Two.", 3: "Three."}, {1: "One, newest.", 3: ""}, {1: "One, newest.", 2: "Two is back.", 3: ""}]  # an empty text is one empty chunk
+    for rows, index in zip(batches, want):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(src)
+        got = sync_index(spark.readStream.schema(ddl).parquet(src), path, ck, "version").collect()
+        assert {r.doc_id: r.content for r in got} == index and len(got) == len(index)
+
+
+def test_stream_of_a_folder_table(spark, tmp_path):
+    rows = spark.range(50).select(F.col("id").alias("item_id"), F.lit("some text").alias("text"))
+    rows.repartition(3).write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    out = st.run_available(table_stream(spark, str(tmp_path), "benchmark"), "folder-table")
+    assert out.count() == 50
