@@ -1,10 +1,12 @@
 """Near-duplicate vectors by range search on a robust-pruned flat graph.
 
 Equal vectors are one class; a class is one node. Cluster centres are fitted on a bounded sample; every node joins the
-shards of its two nearest centres, so shards overlap. A shard that is larger than ``SHARD`` is cut into blocks. In each
+shards of its two nearest centres, so shards overlap. Every node is searched in the shards of all centres within a margin of
+its second centre; the margin is measured on pairs at the threshold around held-out nodes, so that MEET of them meet
+whatever the number of centres. A shard that is larger than ``SHARD`` is cut into blocks. In each
 block a flat graph is built: the nearest candidates of a node and some at growing ranks, robust-pruned so that no kept neighbour hides another
 direction, with reverse edges and a path over all nodes that keeps the graph in one piece. The adjacency lists of a node
-are united over its shards. Then every node is searched in its shards and the next nearest ones (in each block of them): a
+are united over its shards. Then every node is searched in its probed shards (in each block of them): a
 greedy beam walks from the medoid, and from the nodes it ends at, the search expands over the graph as long as it meets nodes in range. Every
 reported pair is verified by its cosine in double precision. ``audit_recall`` compares with brute force.
 
@@ -34,7 +36,8 @@ SLACK = 0.1  # nodes down to LEAST_COSINE - SLACK are expanded
 SAMPLE = 20_000
 SHARD = 12_000
 FLOOR = 8  # nearest neighbours that are kept whatever hides them
-PROBES, MARGIN = 4, 0.15  # a node is searched in its best shards, as far as they are nearly as near as its second
+PROBES, MARGIN = 4, 0.15  # the least: a node is searched in its best shards, as far as they are nearly as near as its second
+MEET, HELD, PAIRS = 0.99, 10, 4000  # share of pairs at LEAST_COSINE that meet; every 10th sampled node takes no part in the fit
 DEGREE, CANDIDATES, ALPHA, BEAM = 16, 24, 1.2, 24
 QUERY_BLOCK = 256
 
@@ -62,13 +65,48 @@ def prepare(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id bigint, key binary, unit array<double>")
 
 
-def centres(nodes: DataFrame, per_shard: int) -> np.ndarray:
-    """Cluster centres of the most common vector length, fitted on at most SAMPLE nodes in hash order."""
+def probe_margin(centre: np.ndarray, held: np.ndarray, least: float = LEAST_COSINE, meet: float = MEET) -> float:
+    """How far below a node's second-best centre the better home of a vector at cosine ``least`` lies, at the quantile ``meet``.
+
+    Pairs are made around ``held``, half of them in any direction and half towards other vectors; the larger margin counts.
+    """
+    if len(centre) < 3 or not len(held):
+        return 0.0
+    pick = np.random.RandomState(0)
+    margins = []
+    for ahead in (lambda n: pick.normal(size=(n, held.shape[1])), lambda n: held[pick.randint(0, len(held), n)]):
+        lacks = []
+        for low in range(0, PAIRS, 500):
+            u = held[np.arange(low, low + 500) % len(held)]
+            w = ahead(len(u))
+            w = w - (w * u).sum(axis=1, keepdims=True) * u
+            w = w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
+            of_u, of_v = u @ centre.T, (least * u + np.sqrt(1 - least**2) * w) @ centre.T
+            homes = np.argsort(-of_v, axis=1, kind="stable")[:, :2]
+            lacks.append(np.sort(of_u, axis=1)[:, -2] - np.take_along_axis(of_u, homes, 1).max(axis=1))
+        margins.append(np.quantile(np.concatenate(lacks), meet, method="higher"))
+    return float(max(0.0, *margins))
+
+
+def places(unit: np.ndarray, centre: np.ndarray, margin: float) -> tuple[list[int], list[int]]:
+    """(homes, probes) of a unit vector: its two best centres, and all that are within ``margin`` of the second."""
+    s = centre @ unit
+    best = np.argsort(-s, kind="stable")
+    second = s[best[:2][-1]]
+    few = best[:PROBES]
+    near = best[: max(int((s >= second - margin).sum()), int((s[few] >= second - MARGIN).sum()))]
+    return sorted(best[:2].tolist()), near.tolist()
+
+
+def centres(nodes: DataFrame, per_shard: int) -> tuple[np.ndarray, float]:
+    """(cluster centres, probe margin) of the most common vector length, from at most SAMPLE nodes in hash order."""
     rows = nodes.orderBy(F.xxhash64("id"), "id").select("unit").limit(SAMPLE).collect()
     if not rows:
-        return np.zeros((0, 0))
+        return np.zeros((0, 0)), 0.0
     lengths = pd.Series([len(r[0]) for r in rows])
     x = np.array([r[0] for r in rows if len(r[0]) == lengths.mode()[0]])
+    aside = np.arange(len(x)) % HELD == HELD - 1
+    held, x = x[aside], x[~aside]
     k = int(max(1, min(len(x) // 8, np.ceil(nodes.count() / per_shard))))
     centre = x[:: max(1, len(x) // k)][:k]
     for _ in range(8):
@@ -77,7 +115,7 @@ def centres(nodes: DataFrame, per_shard: int) -> np.ndarray:
         np.add.at(sums, near, x)
         full = np.linalg.norm(sums, axis=1) > 1e-9
         centre = np.where(full[:, None], sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9), centre)
-    return centre
+    return centre, probe_margin(centre, held)
 
 
 def robust_prune(x: np.ndarray, near: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> list[np.ndarray]:
@@ -209,10 +247,7 @@ def _search(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     shard = int(index["shard"][0])
     # a neighbour counts in its lower shard if that is searched, too
     low_x = index["low"].to_numpy()
-    probes = queries["probes"].tolist()
-    probed = np.full((len(q), max(map(len, probes))), np.iinfo(np.int64).min)
-    for k, p in enumerate(probes):
-        probed[k, : len(p)] = p
+    probed = np.frombuffer(b"".join(queries["mask"]), np.uint8).reshape(len(q), -1)  # one bit a centre
     start, total, root = medoid(x), np.zeros(len(q), np.int64), {}
 
     def find(v):
@@ -229,7 +264,9 @@ def _search(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         who = who + low
         other = q_ids[who] != ids[what]
         who, what = who[other], what[other]
-        counted = (low_x[what] == shard) | ~(probed[who] == low_x[what][:, None]).any(axis=1)
+        counted = low_x[what] == shard
+        if probed.shape[1]:
+            counted |= (probed[who, low_x[what] >> 3] >> (7 - (low_x[what] & 7)).astype(np.uint8) & 1) == 0
         np.add.at(total, who[counted], weight[what[counted]])
         a, b = now[np.searchsorted(names, q_ids[who])], now[np.searchsorted(names, ids[what])]
         for u, v in np.unique(np.stack((a, b), 1)[a != b], axis=0).tolist():
@@ -251,25 +288,27 @@ def near_vectors(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
     named = classes.select("id", "weight", F.col("key").alias("k"))
     nodes = usable.join(named, (F.col("key") == F.col("k")) & (F.col("vec_id") == F.col("id"))).select("id", "weight", "unit")
     nodes = materialise(nodes.dropDuplicates(["id", "unit"]), "vector-nodes")
-    centre = spark.sparkContext.broadcast(centres(nodes, max(1, shard // 3)))
+    fitted = spark.sparkContext.broadcast(centres(nodes, max(1, shard // 3)))
 
     def place(batches):
-        c = centre.value
+        c, margin = fitted.value
         for batch in batches:
-            homes, probes = [], []
+            homes, probes, masks = [], [], []
             for u in batch.column("unit").to_pylist():
                 if len(u) != c.shape[1] or not len(c):  # vectors of another length keep to themselves
-                    homes.append([-len(u)])
-                    probes.append([-len(u)])
-                    continue
-                s = c @ np.array(u)
-                best = np.argsort(-s, kind="stable")[:PROBES]
-                homes.append(sorted(best[:2].tolist()))
-                probes.append(best[s[best] >= s[best[: 2][-1]] - MARGIN].tolist())
+                    home, near, mask = [-len(u)], [-len(u)], b""
+                else:
+                    home, near = places(np.array(u), c, margin)
+                    bits = np.zeros(len(c), np.uint8)
+                    bits[near] = 1
+                    mask = np.packbits(bits).tobytes()
+                homes.append(home)
+                probes.append(near)
+                masks.append(mask)
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(homes, longs), pa.array(probes, longs)], names=["id", "weight", "unit", "homes", "probes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(homes, longs), pa.array(probes, longs), pa.array(masks, pa.binary())], names=["id", "weight", "unit", "homes", "probes", "mask"])
 
-    placed = nodes.mapInArrow(place, "id bigint, weight bigint, unit array<double>, homes array<bigint>, probes array<bigint>")
+    placed = nodes.mapInArrow(place, "id bigint, weight bigint, unit array<double>, homes array<bigint>, probes array<bigint>, mask binary")
     placed = materialise(placed, "vector-places")
     member = placed.withColumn("shard", F.explode("homes")).withColumn("low", F.array_min("homes"))
     sizes = materialise(member.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard)).cast("int").alias("blocks")), "vector-shards")
@@ -284,10 +323,15 @@ def near_vectors(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
     lists = member.select("shard", "block", "id", "unit").groupBy("shard", "block").applyInPandas(graph, "id bigint, near array<bigint>")
     united = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # two shards at most
     united = materialise(united, "vector-graph")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    index = member.join(united, "id").select("shard", "block", every.alias("against"), "id", "unit", "weight", "near", "low")
-    asked = placed.withColumn("shard", F.explode("probes")).join(sizes, "shard")
-    asked = asked.select("shard", every.alias("block"), block.alias("against"), "id", "unit", "probes").toDF("shard", "block", "against", "id", "unit", "probes")
+    # more probes mean more queries a shard; they are cut into blocks of their own
+    asking = placed.select(F.explode("probes").alias("shard")).groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * shard)).cast("int").alias("turns"))
+    both = materialise(sizes.join(asking, "shard"), "vector-turns")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    turns = both.select("shard", "turns")
+    index = member.join(turns, "shard").join(united, "id").select("shard", "block", every("turns").alias("against"), "id", "unit", "weight", "near", "low")
+    asked = placed.select("id", "unit", "mask", F.explode("probes").alias("shard")).join(both, "shard")
+    turn = F.pmod(F.xxhash64("id"), F.col("turns")).cast("int")
+    asked = asked.select("shard", every("blocks").alias("block"), turn.alias("against"), "id", "unit", "mask")
     keys = ["shard", "block", "against"]
     found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_search, "id bigint, root bigint, links bigint")
     found = materialise(found, "vector-links")

@@ -173,6 +173,26 @@ def test_vector_graph(spark):
     assert vector_graph.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vector_pairs_meet_with_many_centres():
+    r = np.random.RandomState(3)
+
+    def rows(n):
+        return vector_graph.unit_rows(groups[r.randint(0, 10, n)] + r.normal(size=(n, 64)))
+
+    groups = 0.3 * r.normal(size=(10, 64))
+    a, w = rows(1500), r.normal(size=(1500, 64))
+    w = vector_graph.unit_rows(w - (w * a).sum(1, keepdims=True) * a)
+    b = 0.9 * a + np.sqrt(1 - 0.9**2) * w
+    share = {}
+    for k in (5, 50, 1000):
+        centre = rows(k)
+        margin = vector_graph.probe_margin(centre, rows(1500))
+        sides = [[vector_graph.places(u, centre, m) for u in x] for x, m in ((a, margin), (b, margin), (a, 0.0))]
+        share[k] = [np.mean([bool(set(near[1]) & set(v[0])) for near, v in zip(x, sides[1])]) for x in (sides[0], sides[2])]
+    assert all(x[0] >= 0.98 for x in share.values()), share
+    assert share[1000][1] < 0.9  # what the fixed number of probes reaches
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.com/en/x?q#f", "https://www.example.com/en/1", "http://x.net/es/", "ftp://y.org", None, "no scheme", "http://com?x", "http://example.com#/en/", "http://xcom/", "http://spam-farm.example.org/a"]
     pages = spark.createDataFrame([(k, u, 0) for k, u in enumerate(urls)], "page_id bigint, url string, rule int")
