@@ -8,7 +8,8 @@ cheap test. All work is within the row: nothing is shuffled.
 Entropy: a candidate is a run of 20 or more characters of [A-Za-z0-9+/_-] with a digit and a letter. For each character
 class whose alphabet holds all of the candidate, a window of 20 characters slides over it. The state of the fold holds
 the count of each character and the sum of c * log2(c); a step changes two counts. The candidate is reported if any
-window reaches the class's threshold. Allow-listed candidates (words that mark samples, runs of one character,
+window reaches the class's threshold. Every candidate is in a class: the last two hold those of one case with marks, where
+words and dates joined by marks (paths, slugs) need more bits than strings in which letters and digits alternate. Allow-listed candidates (words that mark samples, runs of one character,
 counting sequences, ids in the 8-4-4-4-12 form) are suppressed.
 
 Defined cases: a null text is empty and has no spans; equal rows get equal results; an empty table gives no rows. Offsets
@@ -35,10 +36,15 @@ LEAST_VALUE = 6
 
 # Character classes (what the candidate looks like: alphabet, least bits in a window) and the allow-list.
 WINDOW = 20
+ONE_CASE_MARKS = r"^(?=[A-Z0-9+/_-]+$|[a-z0-9+/_-]+$)(?=[A-Za-z0-9]*[+/_-])"
+ALTERNATES = r"(?>.*?(?:[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z]))){3}"
 CLASSES = {
     r"^[0-9a-f]+$": ("0123456789abcdef", 2.9),
     r"^[A-Z0-9]+$": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 3.4),
     r"(?=.*[a-z])(?=.*[A-Z])": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.7),
+    r"^[a-z0-9]+$": ("abcdefghijklmnopqrstuvwxyz0123456789", 3.4),
+    ONE_CASE_MARKS + ALTERNATES: ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.3),
+    ONE_CASE_MARKS: ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 4.0),
 }
 ALLOWED = r"(?i)example|sample|placeholder|changeme|dummy|0123456789|1234567890|abcdefghij|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 FOLD = 256

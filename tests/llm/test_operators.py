@@ -254,6 +254,16 @@ def test_secrets(spark):
     assert [r.text for r in red] == ["a [SECRET] b [SECRET]", "clean"] and all(r.n_chars == len(r.text) for r in red)
 
 
+def test_secrets_of_every_class(spark):
+    pick, lower, digits = random.Random(5), "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = ["0123456789abcdef", lower.upper() + digits, lower + lower.upper() + digits, lower + digits, lower + "234567", lower + digits + "_-", lower.upper() + digits + "-/+"]
+    strings = ["".join(pick.choice(a) for _ in range(23)) + "k7"[a[0] == "0" :] for a in alphabets] + ["k3j9x7q2m5w8z1r4t6y0", "7KQ2-M9XD-4TLB-W8Z3-HN5C"]
+    plain = ["/2020/05/some-article-title", "blog-post-about-our-trip-2024", "MAX_RETRY_COUNT_2_DEFAULT"]
+    rows = [(k, f"see {s} there", "s") for k, s in enumerate(strings + plain)]
+    got = {r.doc_id: r.text for r in secret_scan.redact_secrets(documents(spark, rows)).collect()}
+    assert [got[k] for k in range(len(rows))] == ["see [SECRET] there"] * len(strings) + [f"see {s} there" for s in plain]
+
+
 @pytest.mark.parametrize("size", [2, 5])
 def test_minhash(spark, size):
     rows, pick = [], random.Random(size)
