@@ -204,9 +204,13 @@ def judged_intervals(table: DataFrame) -> DataFrame:
 
 
 def string_hashes(table: DataFrame, judged: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(w, id, th, s): hashes of the 400-byte strings of intervals to be tested; s is null for those that only speak."""
+    """(w, id, th, s, n): hashes of the 400-byte strings of intervals to be tested; s is null for those that only speak.
+
+    n is the number of rows with this id and text: the intervals of repeated rows are equal, so each string stands n times.
+    """
     asked = judged.where(F.col("kind") != CERTAIN).groupBy("id", "th").agg(F.collect_set(F.struct("low", "high", "kind")).alias("part"))
-    both = table.where("text IS NOT NULL").select("id", "th", "text").dropDuplicates(["id", "th"]).join(materialise(asked, "suffix-asked"), ["id", "th"])
+    texts = table.where("text IS NOT NULL").groupBy("id", "th").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    both = texts.join(materialise(asked, "suffix-asked"), ["id", "th"])
 
     def run(batches):
         for batch in batches:
@@ -220,9 +224,9 @@ def string_hashes(table: DataFrame, judged: DataFrame, length: int = LENGTH) ->
                     now = s[at : at + ROWS]
                     single = np.repeat(kind, n)[at : at + ROWS] == SINGLE
                     ids = [pa.array(np.full(len(now), batch.column(c)[d].as_py(), np.int64)) for c in ("id", "th")]
-                    yield pa.RecordBatch.from_arrays([pa.array(H.span_hash(sums, now, now + length).view(np.int64)), *ids, pa.array(now, pa.int32(), mask=~single)], names=["w", "id", "th", "s"])
+                    yield pa.RecordBatch.from_arrays([pa.array(H.span_hash(sums, now, now + length).view(np.int64)), *ids, pa.array(now, pa.int32(), mask=~single), pa.array(np.full(len(now), batch.column("n")[d].as_py(), np.int64))], names=["w", "id", "th", "s", "n"])
 
-    return both.mapInArrow(run, "w bigint, id bigint, th bigint, s int")
+    return both.mapInArrow(run, "w bigint, id bigint, th bigint, s int, n bigint")
 
 
 def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
@@ -231,7 +235,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     table = materialise(with_intervals(keyed, doubled_ranks(unit_rows(keyed.select("id", "th", "text")))), "suffix-docs")
     judged = materialise(judged_intervals(table), "suffix-judged")
     strings = materialise(string_hashes(table, judged), "suffix-strings")
-    again = materialise(strings.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w"), "suffix-again")
+    again = materialise(strings.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w"), "suffix-again")
     hits = strings.where("s IS NOT NULL").join(again, "w").select("id", "th", F.col("s").alias("low"), F.col("s").alias("high"))
     covered = judged.where(F.col("kind") != SINGLE).select("id", "th", "low", "high").union(hits)
     covered = materialise(covered.groupBy("id", "th").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "suffix-covered")

@@ -133,6 +133,19 @@ def test_suffix_dedup(spark):
     assert Counter(map(tuple, got)) == Counter(want)
 
 
+def test_suffix_dedup_of_repeated_rows_in_other_batches(spark):
+    texts = {1: words_of(100, 30)[:400], 2: words_of(300, 31), 3: words_of(300, 32)}
+    rows = [(i, texts[i], "s") for i in (1, 1, 2, 2, 3)]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 1)  # every interval is a batch
+    try:
+        got = suffix_dedup.remove_repeats(documents(spark, rows)).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert all(r.n_removed == (0 if r.doc_id == 3 else r.n_bytes) for r in got) and len(got) == 5, got
+
+
 def test_mixing_targets(spark):
     sizes = {"a": 1000, "b": 10, "c": 200, None: 50, "d": 0}
     rows = [(k, " ".join(["w"] * (n // 10)), s) for s, n in sizes.items() for k in range(hash(str(s)) % 1000, hash(str(s)) % 1000 + 10)]
