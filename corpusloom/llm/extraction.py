@@ -38,14 +38,19 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|([^<]++|<)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+ATTRIBUTE = re.compile(r"(?<![^\s\"'/])([^\s\"'>/=]++)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+FRAMES = frozenset("html body main article".split())  # their names tell of the page, not of their text
 FEATURES = ("words", "links", "words_before", "links_before", "words_behind", "links_behind", "article", "outside_article", "furniture", "heading", "sentence")
 
 
 def furniture(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in FURNITURE_TAGS and not (tag == "header" and in_article):
         return True
-    for _, value in ATTRIBUTE.findall(attributes):
+    if tag in FRAMES:
+        return False
+    for attribute, value in ATTRIBUTE.findall(attributes):
+        if attribute.lower() not in ("class", "id", "role"):
+            continue
         names = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
         if any(n in FURNITURE_WORDS for n in names) and not (in_article and "header" in names):
             return True

@@ -90,6 +90,18 @@ def test_extraction(spark):
     assert extraction.main_text(plain, tree) == f"{words_of(40, 1)}.\n{words_of(30, 2)}."
 
 
+def test_extraction_of_frames_with_furniture_words(spark):
+    tree = extraction.train_tree(spark)
+    text = [f"{words_of(n, n)}." for n in (40, 30)]
+    inner = "".join(f"<p>{t}</p>" for t in text) + f"<div class='Sidebar'><p>{words_of(12, 1)}.</p></div>"
+    for page in (
+        f"<html class='no-ads'><body class='has-sidebar'><article>{inner}</article></body></html>",
+        f"<body id=page><main role='main' class='share'><article class='post comments-open tags'>{inner}</article></main></body>",
+        f"<div data-id='sidebar' data-role=form title='a class=ad id=menu'><article>{inner}</article></div>",
+    ):
+        assert extraction.main_text(page, tree) == "\n".join(text), page
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_fm_index(seed):
     text = np.random.RandomState(seed).randint(1, 5, 400)
