@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from corpusloom.llm import decontamination, extraction, filter_audit, importance, mixing, pii_anchors, secret_scan, suffix_dedup, tensored_minhash, url_filter, vector_graph
+from corpusloom.llm import decontamination, extraction, filter_audit, importance, mixing, pii_anchors, secret_scan, shallot, suffix_dedup, tensored_minhash, toxic_spans, url_filter, vector_graph
 from corpusloom.llm.common import documents
 from corpusloom.sources.tables import table
 
@@ -56,5 +56,13 @@ def op11_filter_audit(spark, root):
     return filter_audit.filter_audit(documents(spark, root), table(spark, root, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_block_extraction, op3_fm_decontamination, op4_suffix_dedup, op5_source_mixing, op6_vector_graph, op7_url_filter, op8_pii_anchors, op9_secret_entropy, op10_tensored_minhash, op11_filter_audit)}
-ORACLES = {"op3_fm_decontamination": decontamination.SQL, "op5_source_mixing": mixing.SQL, "op7_url_filter": url_filter.SQL, "op11_filter_audit": filter_audit.SQL}
+def op12_toxic_spans(spark, root):
+    return toxic_spans.toxic_digest(documents(spark, root), table(spark, root, "labels"))
+
+
+def op13_shallot_clusters(spark, root):
+    return shallot.cluster_digest(table(spark, root, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_block_extraction, op3_fm_decontamination, op4_suffix_dedup, op5_source_mixing, op6_vector_graph, op7_url_filter, op8_pii_anchors, op9_secret_entropy, op10_tensored_minhash, op11_filter_audit, op12_toxic_spans, op13_shallot_clusters)}
+ORACLES = {"op3_fm_decontamination": decontamination.SQL, "op5_source_mixing": mixing.SQL, "op7_url_filter": url_filter.SQL, "op11_filter_audit": filter_audit.SQL, "op13_shallot_clusters": shallot.SQL}
