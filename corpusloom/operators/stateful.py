@@ -1,24 +1,28 @@
-"""Operators whose next decision depends on earlier ones: rate limiter, circuit breaker, alert cooldown
-and bounded response cache.
+"""Operators whose next decision depends on earlier ones: rate limiter, circuit breaker and alert cooldown; and re-use of
+earlier answers.
 
 Each is a small state machine over one key's rows in time order. ``ordered_scan`` runs it in batch,
 ``streaming.stateful`` runs the same machine on a stream.
 
-Where a machine forgets after a fixed horizon, a key's timeline is cut at gaps of that length. The pieces
-are independent, so a busy key runs on many tasks. Rows stream through a task in order and only the
-machine's state is held, never the rows of a key.
+In batch a key is not one task. The rows are range partitioned by (key, time), so a busy key is cut into time slices. All
+slices run at once, each from a fresh machine, and report the state they end in. Where a slice should have started from its
+predecessor's end state instead, it alone runs again from that state; since these machines forget, their end states
+mostly stay what they were and the chain is settled after one or two such rounds. Rows stream through a task in order and
+only the machine's state is held.
 """
 
 from __future__ import annotations
 
+import json
 from collections import deque
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.monitoring import COOLDOWN_SECONDS
+from corpusloom.session import materialise
 
 SECOND = 1_000_000
 MINUTE, HOUR = 60 * SECOND, 3600 * SECOND
@@ -45,6 +49,11 @@ class RateLimiter:
         self.admitted.append((now, tokens))
         return "ALLOWED"
 
+    def settled(self, now: int, horizon: int | None = None):
+        """The state as far as rows from ``now`` on can tell it from another."""
+        held = [(t, n) for t, n in self.admitted if t > now - self.horizon]
+        return [int(t) for t, _ in held], [int(n) for _, n in held]
+
     def dump(self):
         return [int(t) for t, _ in self.admitted], [int(n) for _, n in self.admitted]
 
@@ -81,6 +90,10 @@ class CircuitBreaker:
             self._open(now)
         return f"CALLED:{self.state}"
 
+    def settled(self, now: int, horizon: int | None = None):
+        successes = int(self.successes) if self.state == "HALF_OPEN" else 0
+        return self.state, successes, int(self.retry_at) if self.state == "OPEN" else 0, list(self.outcomes)
+
     def dump(self):
         return self.state, int(self.successes), int(self.retry_at), list(self.outcomes)
 
@@ -99,77 +112,127 @@ class Cooldown:
         self.last = now
         return "FIRED"
 
+    def settled(self, now: int, horizon: int | None = None):
+        """With ``horizon`` (the longest cooldown) an alert that long ago is forgotten."""
+        return (None if self.last is None or horizon is not None and now - self.last >= horizon else int(self.last),)
+
     def dump(self):
         return (None if self.last is None else int(self.last),)
 
 
-class FifoCache:
-    """Bounded cache of answers; a full cache drops its oldest entry and a hit does not refresh one."""
+def _scan(machine, key: str, columns: list[str], out: str, slice_of: str, entries: dict[int, str] | None):
+    """Runs the machine over sorted rows; after the rows of a slice comes one row with its first and last key, first time and
+    end state. ``entries`` are the states from which the first key of each slice starts (a fresh machine without)."""
 
-    state_ddl = "keys array<string>"
+    def start(number):
+        return machine(json.loads(entries[number])) if entries and number in entries else machine()
 
-    def __init__(self, state=None, size=100):
-        self.order = deque(state[0] if state else ())
-        self.held, self.size = set(self.order), size
+    def ending(number, first, last, began, run):
+        state = json.dumps({"first": first, "last": last, "clock": began, "end": json.dumps(run.dump())})
+        return pd.DataFrame({**{c: [None] for c in columns}, out: [None], "_clock": [None], "_value": [None], "_slice": [number], "_first": [None], "_state": [state]})
 
-    def step(self, now: int, key: str) -> str:
-        if key in self.held:
-            return "HIT"
-        if len(self.order) >= self.size:
-            self.held.discard(self.order.popleft())
-        self.order.append(key)
-        self.held.add(key)
-        return "MISS"
-
-    def dump(self):
-        return (list(self.order),)
+    def plain(x):
+        return None if x is None or x != x else x.item() if hasattr(x, "item") else x
 
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = first = last = began = run = None
+        for pdf in batches:
+            cut, results, firsts = 0, [], []
+            for i, (number, k, now, val) in enumerate(zip(pdf[slice_of], pdf[key], pdf["_clock"], pdf["_value"])):
+                k = plain(k)
+                if number != at:
+                    if at is not None:
+                        yield frame(pdf, cut, i, results, firsts)
+                        yield ending(at, first, last, began, run)
+                        cut, results, firsts = i, [], []
+                    at, first, last, began, run = int(number), k, k, int(now), start(int(number))
+                elif k != last:
+                    last, run = k, machine()
+                results.append(run.step(now, val))
+                firsts.append(k == first)
+            yield frame(pdf, cut, len(pdf), results, firsts)
+        if at is not None:
+            yield ending(at, first, last, began, run)
 
-def timeline_pieces(df: DataFrame, key: str, clock: str, horizon: int) -> DataFrame:
-    """Adds ``_piece``, numbering the runs of a key that are at least ``horizon`` apart.
+    def frame(pdf, a, b, results, firsts):
+        part = pdf.iloc[a:b]
+        return part[columns].assign(**{out: pd.Series(results, index=part.index, dtype=object), "_clock": part["_clock"], "_value": part["_value"],
+                                       "_slice": part[slice_of], "_first": pd.Series(firsts, index=part.index, dtype=object), "_state": None})
 
-    Occupied (key, slot) pairs are found first, so the gap search sees slots, not rows.
-    """
-    slotted = df.withColumn("_slot", F.floor(F.col(clock) / F.lit(horizon)).cast("bigint"))
-    order = Window.partitionBy(key).orderBy("_slot")
-    slots = slotted.select(key, "_slot").distinct()
-    new_run = F.when(F.col("_slot") - F.lag("_slot").over(order) > 1, 1).otherwise(0)
-    pieces = slots.withColumn("_new", new_run).withColumn("_piece", F.sum("_new").over(order)).drop("_new")
-    return slotted.join(pieces, [key, "_slot"]).drop("_slot")
+    return scan
 
 
 def ordered_scan(
-    df: DataFrame, key: str, clock: Column, tie: str, value: Column, machine: Callable[[], object], out: str, horizon: int | None = None
+    df: DataFrame, key: str, clock: Column, tie: str, value: Column, machine: Callable[..., object], out: str, horizon: int | None = None,
+    slices: int | None = None, most_rounds: int = 5,
 ) -> DataFrame:
-    """Adds column ``out``: the machine's result for each row, per key in (clock, tie) order."""
-    columns = df.columns
-    rows = df.withColumn("_clock", clock).withColumn("_value", value)
-    if horizon:
-        rows = timeline_pieces(rows, key, "_clock", horizon)
-    else:
-        rows = rows.withColumn("_piece", F.lit(0).cast("bigint"))
-    placed = rows.repartition(key, "_piece").sortWithinPartitions(key, "_piece", "_clock", tie)
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, run = None, None
-        for pdf in batches:
-            results = []
-            for k, piece, now, val in zip(pdf[key], pdf["_piece"], pdf["_clock"], pdf["_value"]):
-                if (k, piece) != at:
-                    at, run = (k, piece), machine()
-                results.append(run.step(now, val))
-            yield pdf[columns].assign(**{out: pd.Series(results, index=pdf.index, dtype=object)})
+    """Adds column ``out``: the machine's result for each row, per key in (clock, tie) order.
 
-    ddl = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
-    return placed.mapInPandas(scan, f"{ddl}, `{out}` string")
+    ``slices`` is the number of time slices (the number of shuffle partitions by default). What the driver gets is one state
+    a slice and round. Slices that are not settled after ``most_rounds`` run in a row, each busy stretch in one task.
+    """
+    columns = df.columns
+    rows = df.select("*", clock.alias("_clock"), value.alias("_value"))
+    placed = rows.repartitionByRange(*([slices] if slices else []), key, "_clock", tie).sortWithinPartitions(key, "_clock", tie)
+    placed = placed.withColumn("_slice", F.spark_partition_id())
+    ddl = ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes), f"`{out}` string", *(f"{c} {t}" for c, t in rows.dtypes[-2:]), "_slice int, _first boolean, _state string"])
+    done = [materialise(placed.mapInPandas(_scan(machine, key, columns, out, "_slice", None), ddl), "scan-slices")]
+    ends = {r["_slice"]: json.loads(r["_state"]) for r in done[0].where("_state IS NOT NULL").select("_slice", "_state").collect()}
+    order = sorted(ends)
+    settle = lambda state, now: json.dumps(machine(state).settled(now, horizon))
+    entry = {p: settle(None, ends[p]["clock"]) for p in order}
+    latest = dict.fromkeys(order, 0)
+    for turn in range(1, most_rounds + 2):
+        asked = {}
+        for p, q in zip(order, order[1:]):
+            if ends[p]["last"] == ends[q]["first"]:
+                state = settle(json.loads(ends[p]["end"]), ends[q]["clock"])
+                if state != entry[q]:
+                    asked[q] = state
+        if not asked:
+            break
+        leader = {q: q for q in asked}
+        if turn > most_rounds:  # run what is left in a row: each slice joins the first unsettled one of its stretch
+            for p, q in zip(order, order[1:]):
+                if p in leader and ends[p]["first"] == ends[p]["last"] == ends[q]["first"]:
+                    leader[q] = leader[p]
+        groups = F.create_map(*[F.lit(x) for pair in leader.items() for x in pair])[F.col("_slice")]
+        again = union_of([done[t].where(F.col("_slice").isin([q for q in leader if latest[q] == t])) for t in sorted({latest[q] for q in leader})])
+        again = again.where("_state IS NULL AND _first").withColumn("_group", groups)
+        again = again.repartitionByRange(max(1, len(set(leader.values()))), "_group").sortWithinPartitions("_group", "_clock", tie)
+        if turn > most_rounds:
+            # the slices of a stretch are told apart no longer, and no state is needed any more
+            done.append(materialise(again.mapInPandas(_scan(machine, key, columns, out, "_group", asked), ddl), "scan-slices"))
+            latest.update({q: turn for q in set(leader.values())})
+            for q in leader:
+                if leader[q] != q:
+                    latest[q] = None
+            break
+        done.append(materialise(again.mapInPandas(_scan(machine, key, columns, out, "_group", asked), ddl), "scan-slices"))
+        for r in done[turn].where("_state IS NOT NULL").select("_slice", "_state").collect():
+            q = r["_slice"]
+            entry[q], latest[q] = asked[q], turn
+            if ends[q]["first"] == ends[q]["last"]:
+                ends[q]["end"] = json.loads(r["_state"])["end"]
+    rest = [q for q in order if latest[q] != 0]
+    parts = [done[0].where("_state IS NULL").where(~F.col("_slice").isin(rest) | ~F.col("_first"))]
+    parts += [done[t].where("_state IS NULL").where(F.col("_slice").isin([q for q in rest if latest[q] == t])) for t in range(1, len(done))]
+    return union_of(parts).select(*columns, out)
+
+
+def union_of(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 def rate_limit(log: DataFrame, user: str, clock: Column, tie: str, tokens: Column, **limits) -> DataFrame:
-    return ordered_scan(log, user, clock, tie, tokens, lambda: RateLimiter(**limits), "rate_status", RateLimiter(**limits).horizon)
+    return ordered_scan(log, user, clock, tie, tokens, lambda state=None: RateLimiter(state, **limits), "rate_status", RateLimiter(**limits).horizon)
 
 
 def circuit_breaker(log: DataFrame, endpoint: str, clock: Column, tie: str, failed: Column, **params) -> DataFrame:
-    return ordered_scan(log, endpoint, clock, tie, failed.cast("int"), lambda: CircuitBreaker(**params), "breaker")
+    return ordered_scan(log, endpoint, clock, tie, failed.cast("int"), lambda state=None: CircuitBreaker(state, **params), "breaker")
 
 
 def cooldown_column(severity: str, seconds=COOLDOWN_SECONDS) -> Column:
@@ -184,7 +247,13 @@ def alert_cooldown(alerts: DataFrame, rule: str, clock: Column, severity: str, s
     return ordered_scan(alerts, rule, clock, severity, cooldown_column(severity, seconds), Cooldown, "outcome", horizon)
 
 
-def fifo_cache(requests: DataFrame, id_col: str, key: Column, size: int = 100, shard_digits: int = 1) -> DataFrame:
-    """Hit or miss per request. Keys are spread over 16**shard_digits caches by the digits of their digest."""
-    keyed = requests.withColumn("cache_key", key).withColumn("shard", F.substring("cache_key", 1, shard_digits))
-    return ordered_scan(keyed, "shard", F.col(id_col), id_col, F.col("cache_key"), lambda: FifoCache(size=size), "cache_result")
+def earlier_answers(requests: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """Adds ``cache_key`` and ``cache_result``: MISS for the first request of a key by id, HIT for later ones.
+
+    The first ids come from a map-side minimum, and a row is matched to them by (id, key), so that a key with a third of all
+    requests is no group of its own. A null key is always a MISS.
+    """
+    keyed = requests.withColumn("cache_key", key)
+    first = keyed.groupBy("cache_key").agg(F.min(id_col).alias(id_col)).withColumn("_first", F.lit(True))
+    result = F.when(F.col("_first") | F.col("cache_key").isNull(), "MISS").otherwise("HIT").alias("cache_result")
+    return keyed.join(first, [id_col, "cache_key"], "left").select(*keyed.columns, result)

@@ -11,9 +11,10 @@ from corpusloom.plans.monitoring_queries import WINDOW_ALERTS_CTE, window_alerts
 from corpusloom.plans.registry import query
 from corpusloom.plans.retrieval_queries import _KEY
 from corpusloom.plans.shared import r6, rounded
-from corpusloom.session import materialise
+from corpusloom.session import materialise, scratch_path
 from corpusloom.sources.bindings import docs, traffic, traffic_columns
-from corpusloom.sources.tables import table_stream
+from corpusloom.sources.tables import table, table_stream
+from corpusloom.streaming import rollups as ru
 from corpusloom.streaming import stateful as st
 from corpusloom.streaming.index_sync import sync_index
 
@@ -95,15 +96,10 @@ def _(spark, root):
     return sf.alert_cooldown(alerts, "rule", clock("window_start"), "severity", COOL)
 
 
-@query("response_cache", f"""WITH o AS (SELECT doc_id, {_KEY} AS k, substring({_KEY}, 1, 1) AS shard, row_number() OVER (PARTITION BY substring({_KEY}, 1, 1) ORDER BY doc_id) AS rn FROM v_docs),
-r(shard, rn, doc_id, held, cache_result) AS (
-  SELECT shard, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS VARCHAR[]), '' FROM o WHERE rn = 1
-  UNION ALL SELECT o.shard, o.rn, o.doc_id, CASE WHEN list_contains(held, k) THEN held WHEN len(held) >= 20 THEN list_append(held[2:], k) ELSE list_append(held, k) END,
-    CASE WHEN list_contains(held, k) THEN 'HIT' ELSE 'MISS' END FROM r JOIN o ON o.shard = r.shard AND o.rn = r.rn + 1)
-SELECT doc_id, shard, cache_result FROM r WHERE rn > 0""", ("v_docs",), recursive=True)
+@query("response_cache", f"""SELECT doc_id, {_KEY} AS cache_key, CASE WHEN row_number() OVER (PARTITION BY {_KEY} ORDER BY doc_id) = 1 THEN 'MISS' ELSE 'HIT' END AS cache_result FROM v_docs""", ("v_docs",))
 def _(spark, root):
     d = docs(spark, root).select("doc_id", reuse_key(F.col("content")).alias("k"))
-    return sf.fifo_cache(d, "doc_id", F.col("k"), size=20).select("doc_id", "shard", "cache_result")
+    return sf.earlier_answers(d, "doc_id", F.col("k")).select("doc_id", "cache_key", "cache_result")
 
 
 @query("log_sink_stream", f"""SELECT count(*) AS total_requests, {r6('avg(latency_ms)')} AS avg_latency_ms, max(latency_ms) AS max_latency_ms, CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
@@ -111,7 +107,7 @@ def _(spark, root):
 def _(spark, root):
     # Every row arrives twice.
     twice = log_stream(spark, root).unionByName(log_stream(spark, root))
-    return rounded(st.log_summary(st.run_available(st.log_sink(twice, "ts", "request_id"), "inference-log")))
+    return rounded(st.log_summary(st.log_table(twice, "ts", "request_id")))
 
 
 @query("index_sync_stream", f"WITH {GREEDY_CTE} SELECT doc_id, chunk_index, md5(content) AS digest, char_count > 10 AS has_vector FROM chunks", ("v_docs",), recursive=True)
@@ -120,6 +116,37 @@ def _(spark, root):
     return sync_index(stream).select("doc_id", "chunk_index", F.md5("content").alias("digest"), F.col("embedding").isNotNull().alias("has_vector"))
 
 
+CHANGED = "doc_id IN (SELECT doc_id FROM labels WHERE quality = 0 AND toxic = 0)"
+TOXIC = "doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)"
+
+
+def change_log(spark, root):
+    """Three steps of changes (doc_id, content, version): all documents; junk cut to its first line, toxic ones changed and
+    removed in one step; English toxic ones brought back with their title."""
+    d = docs(spark, root).select("doc_id", "content", "title", "category")
+    marks = table(spark, root, "labels").select("doc_id", "quality", "toxic")
+    junk = d.join(marks.where("quality = 0 AND toxic = 0"), "doc_id", "left_semi")
+    toxic = d.join(marks.where("toxic = 1"), "doc_id", "left_semi")
+    row = lambda rows, content, version: rows.select("doc_id", content.cast("string").alias("content"), F.lit(version).alias("version"))
+    title = F.col("title")
+    return [
+        row(d, F.col("content"), 1),
+        row(junk, title, 2).union(row(toxic, F.concat(F.lit("For a moment. "), title), 2)).union(row(toxic, F.lit(None), 3)),
+        row(toxic.where("category = 'en'"), title, 4),
+    ]
+
+
+@query("index_maintenance_stream", f"""WITH v_docs AS (SELECT doc_id, lang AS category, split_part(text, chr(10), 1) AS title,
+  CASE WHEN {CHANGED} OR {TOXIC} THEN split_part(text, chr(10), 1) ELSE text END AS content FROM documents WHERE NOT {TOXIC} OR lang = 'en'),
+{GREEDY_CTE} SELECT doc_id, chunk_index, md5(content) AS digest FROM chunks""", recursive=True)
+def _(spark, root):
+    source, index, checkpoint = (scratch_path(spark, x) for x in ("changes", "index", "index-checkpoint"))
+    for step in change_log(spark, root):
+        step.write.mode("append").parquet(source)
+        out = sync_index(spark.readStream.schema(step.schema).parquet(source), index, checkpoint, "version")
+    return out.select("doc_id", "chunk_index", F.md5("content").alias("digest"))
+
+
 TUMBLE = f"SELECT date_trunc('hour', ts) AS window_start, count(*) AS requests, {r6('avg(latency_ms)')} AS avg_latency, count(*) FILTER (status = 'error') AS errors FROM v_traffic"
 
 
@@ -128,20 +155,48 @@ def _(spark, root):
     return rounded(st.tumbling_metrics(traffic(spark, root), "ts", "1 hour"))
 
 
-@query("tumbling_windows_stream", f"{TUMBLE} WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM v_traffic) - INTERVAL 1 HOUR GROUP BY 1", V)
+def hourly_slots(spark, root):
+    """The hourly slots of the traffic stream; an hour's delay tells open from closed ones."""
+    log = log_stream(spark, root).select("ts", "status", "total_tokens", "latency_ms")
+    return ru.rollup_stream(log, ru.traffic_rollup("ts", sf.HOUR), sf.HOUR, sf.HOUR)
+
+
+@query("tumbling_windows_stream", f"{TUMBLE} GROUP BY 1", V)
+def _(spark, root):
+    return rounded(ru.tumbling_slots(hourly_slots(spark, root), sf.HOUR))
+
+
+@query("open_windows_stream", "SELECT date_trunc('hour', ts) AS window_start, count(*) AS requests, date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM v_traffic) - INTERVAL 1 HOUR AS closed FROM v_traffic GROUP BY 1", V)
 def _(spark, root):
-    out = st.run_available(st.tumbling_metrics(log_stream(spark, root), "ts", "1 hour", "1 hour"), "windows")
-    return rounded(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+    return hourly_slots(spark, root).select(ru.slot_start(sf.HOUR), F.col("n").alias("requests"), "closed")
+
+
+SLIDE = """SELECT date_trunc('hour', ts) - i * INTERVAL 1 HOUR AS window_start, count(*) AS requests, CAST(sum(total_tokens) AS BIGINT) AS tokens
+  FROM v_traffic, range(6) t(i) GROUP BY 1"""
 
 
-@query("sliding_windows", """SELECT date_trunc('hour', ts) - i * INTERVAL 1 HOUR AS window_start, count(*) AS requests, CAST(sum(total_tokens) AS BIGINT) AS tokens
-  FROM v_traffic, range(6) t(i) GROUP BY 1""", V)
+@query("sliding_windows", SLIDE, V)
 def _(spark, root):
     return st.sliding_counts(traffic(spark, root), "ts", "6 hours", "1 hour")
 
 
-@query("user_sessions", """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS n FROM v_traffic WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+@query("sliding_windows_stream", SLIDE, V)
+def _(spark, root):
+    return ru.sliding_slots(hourly_slots(spark, root), sf.HOUR, 6)
+
+
+SESSIONS = """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS n FROM v_traffic WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT user_id, ts, sum(n) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g)
-SELECT user_id, min(ts) AS session_start, count(*) AS requests FROM s GROUP BY user_id, s""", V)
+SELECT user_id, min(ts) AS session_start, count(*) AS requests FROM s GROUP BY user_id, s"""
+
+
+@query("user_sessions", SESSIONS, V)
+def _(spark, root):
+    return st.user_sessions(traffic(spark, root), "user_id", "ts", 6 * sf.HOUR)
+
+
+@query("user_sessions_stream", SESSIONS, V)
 def _(spark, root):
-    return st.user_sessions(traffic(spark, root), "ts", "6 hours")
+    log = log_stream(spark, root).select("user_id", "ts")
+    slots = ru.rollup_stream(log, ru.session_rollup("user_id", "ts", 6 * sf.HOUR), 6 * sf.HOUR, sf.HOUR)
+    return ru.sessions_of_slots(slots, 6 * sf.HOUR)

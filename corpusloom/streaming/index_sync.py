@@ -1,4 +1,13 @@
-"""Continuous index refresh: changed documents of each micro-batch are chunked, embedded and merged by key."""
+"""Continuous index refresh: changed documents of each micro-batch are chunked, embedded and merged by key.
+
+Two tables are kept by parts (``parts.py``). ``digests`` has a small row (doc_id, doc_hash, batch_id) for each change of a
+document, without a hash where it was removed; merged parts keep the newest. ``chunks`` has the chunks with their batch;
+merged parts keep those that the digests still name. A batch reads the digests to find what has changed and never older text,
+and the index is the chunks whose (document, batch) is the document's newest digest.
+
+A batch writes its chunks first and its digests last: chunks without digests are not in the index, so a batch that breaks
+off between the two is invisible, and its repetition overwrites both.
+"""
 
 from __future__ import annotations
 
@@ -8,31 +17,30 @@ from pyspark.sql import functions as F
 from corpusloom.operators.chunking import explode_chunks, greedy_array
 from corpusloom.operators.embedding import hashed_embeddings
 from corpusloom.session import scratch_path
+from corpusloom.streaming.parts import FAN, merge_parts, read_parts, write_part
 
 INDEX_DDL = (
     "chunk_id string, doc_id bigint, chunk_index bigint, total_chunks bigint, content string, char_count bigint, "
     "embedding array<float>, doc_hash bigint, batch_id bigint"
 )
+DIGEST_DDL = "doc_id bigint, doc_hash bigint, batch_id bigint"
 
 
-def stored_state(spark: SparkSession, path: str) -> DataFrame:
-    """The merged index: per document the chunks of its newest batch; one removed there has a row without a chunk.
+def newest_digests(digests: DataFrame) -> DataFrame:
+    """One row per document: the one of its newest batch."""
+    newest = digests.groupBy("doc_id").agg(F.max(F.struct("batch_id", "doc_hash")).alias("_row"))
+    return newest.select("doc_id", F.col("_row.doc_hash").alias("doc_hash"), F.col("_row.batch_id").alias("batch_id"))
 
-    Only (doc_id, batch_id) is aggregated; the chunks are joined to it without a shuffle of older versions' text.
-    """
-    try:
-        rows = spark.read.schema(INDEX_DDL).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], INDEX_DDL)
-    newest = rows.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["doc_id", "batch_id"], "left_semi")
+
+def live_chunks(chunks: DataFrame, digests: DataFrame) -> DataFrame:
+    live = newest_digests(digests).where("doc_hash IS NOT NULL").select("doc_id", "batch_id")
+    return chunks.join(live, ["doc_id", "batch_id"], "left_semi")
 
 
 def index_state(spark: SparkSession, path: str) -> DataFrame:
-    """The chunks of the merged index."""
-    return stored_state(spark, path).where("chunk_id IS NOT NULL")
+    """The chunks of the index."""
+    chunks = read_parts(spark, f"{path}/chunks", INDEX_DDL)
+    return live_chunks(chunks, read_parts(spark, f"{path}/digests", DIGEST_DDL)).select(*[c.split()[0] for c in INDEX_DDL.split(", ")])
 
 
 def newest_versions(batch: DataFrame, version: str) -> DataFrame:
@@ -41,25 +49,27 @@ def newest_versions(batch: DataFrame, version: str) -> DataFrame:
     return batch.groupBy("doc_id").agg(F.max(row).alias("_row")).select("doc_id", F.col("_row.content").alias("content"))
 
 
-def merge_batch(path: str, version: str | None = None):
-    """A ``foreachBatch`` function. Each batch owns one folder, so a repeated batch overwrites itself.
+def merge_batch(path: str, version: str | None = None, fan: int = FAN):
+    """A ``foreachBatch`` function.
 
     With ``version``, only the newest row of each document in the batch counts. A document whose content is null or
-    gives no chunk is removed: its row without a chunk replaces the older chunks.
+    gives no chunk is removed.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = newest_versions(batch, version) if version else batch
-        hashed = rows.withColumn("doc_hash", F.xxhash64("content"))
-        known = stored_state(spark, path).where(F.col("batch_id") < batch_id).select("doc_id", "doc_hash").distinct()
-        changed = hashed.join(known, ["doc_id", "doc_hash"], "left_anti")
         parts = greedy_array(F.col("content"))
-        chunks = explode_chunks(changed, parts, ["doc_hash"])
-        indexed = hashed_embeddings(chunks, "content", weighted=False)
-        cols = [c.split()[0] for c in INDEX_DDL.split(", ")][:-1]
-        removed = changed.where(F.coalesce(F.size(parts), F.lit(0)) <= 0).select("doc_id", "doc_hash")
-        indexed.select(*cols).unionByName(removed, allowMissingColumns=True).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        known = newest_digests(read_parts(spark, f"{path}/digests", DIGEST_DDL, before=batch_id)).select("doc_id", F.col("doc_hash").alias("_known"))
+        hashed = rows.withColumn("doc_hash", F.when(F.coalesce(F.size(parts), F.lit(0)) > 0, F.xxhash64("content")))
+        changed = hashed.join(known, "doc_id", "left").where(~F.col("doc_hash").eqNullSafe(F.col("_known")))
+        indexed = hashed_embeddings(explode_chunks(changed.where("doc_hash IS NOT NULL"), parts, ["doc_hash"]), "content", weighted=False)
+        number = F.lit(batch_id).cast("bigint").alias("batch_id")
+        write_part(indexed.select(*[c.split()[0] for c in INDEX_DDL.split(", ")][:-1], number), f"{path}/chunks", batch_id)
+        write_part(changed.select("doc_id", "doc_hash", number), f"{path}/digests", batch_id)
+        merge_parts(spark, f"{path}/digests", batch_id, DIGEST_DDL, newest_digests, fan)
+        digests = read_parts(spark, f"{path}/digests", DIGEST_DDL, before=batch_id + 1)
+        merge_parts(spark, f"{path}/chunks", batch_id, INDEX_DDL, lambda chunks: live_chunks(chunks, digests), fan)
 
     return merge
 

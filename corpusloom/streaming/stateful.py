@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from corpusloom.session import scratch_path
+from corpusloom.streaming.parts import part_path, read_parts
+from corpusloom.streaming.rollups import session_rollup, sessions_of_slots
 
 
 def stateful_stream(
@@ -57,9 +59,32 @@ def run_available(stream: DataFrame, label: str, partition_by: tuple[str, ...] =
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def log_sink(log: DataFrame, event_time: str, key: str, delay: str = "1 hour") -> DataFrame:
-    """Deduplicate a log stream by request id within the watermark."""
-    return log.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+def store_log(path: str, ddl: str, event_time: str, key: str):
+    """A ``foreachBatch`` function that appends the rows of a batch whose key is not in the log yet.
+
+    The log is partitioned by day. A repeated request carries its own time, so only the keys of the batch's days are read,
+    and rows that come late, or in files of any order, are kept.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.dropDuplicates([key]).withColumn("_day", F.to_date(event_time))
+        days = [r[0] for r in rows.select("_day").distinct().collect()]  # the days of one batch
+        known = read_parts(batch.sparkSession, path, f"{ddl}, _day date", before=batch_id)
+        known = known.where(F.col("_day").isin([d for d in days if d is not None]) | (F.col("_day").isNull() if None in days else F.lit(False)))
+        new = rows.join(known.select(key), key, "left_anti")
+        new.select(*rows.columns).write.mode("overwrite").partitionBy("_day").parquet(part_path(path, batch_id, batch_id))
+
+    return write
+
+
+def log_table(stream: DataFrame, event_time: str, key: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Process all available input into a log without repeated keys and return its reader."""
+    spark = stream.sparkSession
+    path, checkpoint = path or scratch_path(spark, "log"), checkpoint or scratch_path(spark, "log-checkpoint")
+    ddl = ", ".join(f"`{c}` {t}" for c, t in stream.dtypes)
+    q = stream.writeStream.foreachBatch(store_log(path, ddl, event_time, key)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return read_parts(spark, path, f"{ddl}, _day date").drop("_day")
 
 
 def log_summary(log: DataFrame) -> DataFrame:
@@ -70,26 +95,20 @@ def log_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def tumbling_metrics(log: DataFrame, event_time: str, width: str, delay: str | None = None) -> DataFrame:
-    """Counts per window; on a stream the watermark closes windows."""
-    if delay:
-        log = log.withWatermark(event_time, delay)
+def tumbling_metrics(log: DataFrame, event_time: str, width: str) -> DataFrame:
+    """Counts per window of a stored log; ``rollups`` has the form for streams."""
     return log.groupBy(F.window(event_time, width)).agg(
         F.count(F.lit(1)).alias("requests"), F.avg("latency_ms").alias("avg_latency"), F.count(F.when(F.col("status") == "error", 1)).alias("errors")
     ).select(F.col("window.start").alias("window_start"), "requests", "avg_latency", "errors")
 
 
-def sliding_counts(log: DataFrame, event_time: str, width: str, slide: str, delay: str | None = None) -> DataFrame:
-    if delay:
-        log = log.withWatermark(event_time, delay)
+def sliding_counts(log: DataFrame, event_time: str, width: str, slide: str) -> DataFrame:
     return log.groupBy(F.window(event_time, width, slide)).agg(F.count(F.lit(1)).alias("requests"), F.sum("total_tokens").alias("tokens")).select(
         F.col("window.start").alias("window_start"), "requests", "tokens"
     )
 
 
-def user_sessions(log: DataFrame, event_time: str, gap: str, delay: str | None = None) -> DataFrame:
-    if delay:
-        log = log.withWatermark(event_time, delay)
-    return log.groupBy("user_id", F.session_window(event_time, gap)).agg(F.count(F.lit(1)).alias("requests")).select(
-        "user_id", F.col("session_window.start").alias("session_start"), "requests"
-    )
+def user_sessions(log: DataFrame, user: str, event_time: str, gap: int) -> DataFrame:
+    """Sessions of a stored log, put together from slots of ``gap`` microseconds that are reduced before the shuffle."""
+    rollup = session_rollup(user, event_time, gap)
+    return sessions_of_slots(rollup.partials(log).where("slot IS NOT NULL"), gap)

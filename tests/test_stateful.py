@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import stateful as sf
+from corpusloom.streaming import parts
+from corpusloom.streaming import rollups as ru
 from corpusloom.streaming import stateful as st
 from corpusloom.sources.tables import table_stream
 from corpusloom.streaming.index_sync import index_state, sync_index
@@ -36,9 +38,14 @@ def test_breaker_cycle():
     assert b.step(140 * S, 1) == "CALLED:OPEN"  # the window was not cleared
 
 
-def test_fifo_cache_does_not_refresh():
-    c = sf.FifoCache(size=2)
-    assert [c.step(0, k) for k in "aabacab"] == ["MISS", "HIT", "MISS", "HIT", "MISS", "MISS", "MISS"]
+def test_earlier_answers(spark):
+    rows = [(i, "abacab"[i % 6] if i % 7 else None) for i in range(60)]
+    got = sf.earlier_answers(spark.createDataFrame(rows, "id long, q string").repartition(4), "id", F.col("q")).collect()
+    firsts = {}
+    for i, q in rows:
+        firsts.setdefault(q, i)
+    # a null key is never an earlier answer
+    assert {r.id: r.cache_result for r in got} == {i: "MISS" if q is not None and firsts[q] == i else "HIT" if q is not None else "MISS" for i, q in rows}
 
 
 @pytest.fixture(scope="module")
@@ -69,24 +76,39 @@ def test_batch_matches_loop(log):
     assert {r.id: r.breaker for r in got} == loop(rows, sf.CircuitBreaker, lambda tok, f: f)
 
 
-def test_timeline_pieces_split_a_busy_key(log):
-    _, df = log
-    pieces = sf.timeline_pieces(df.withColumn("c", F.unix_micros("ts")), "user", "c", 120 * S)
-    assert pieces.where("user = 0").select("_piece").distinct().count() > 5
-    assert pieces.count() == 600
-
-
-@pytest.mark.parametrize("kind", ["limiter", "breaker", "cooldown", "cache"])
+@pytest.mark.parametrize("rounds", [5, 1, 0])
+@pytest.mark.parametrize("slices", [1, 7, 40])
+def test_slices_of_busy_keys(spark, slices, rounds):
+    """One key has most rows: its slices run apart, and the result is the loop's, however many rounds may settle them."""
+    rnd = random.Random(slices)
+    rows, t = [], 0
+    for i in range(1500):
+        t += rnd.choice([1, 2, 5, 30])
+        rows.append((i, 7 if rnd.random() < 0.9 else rnd.choice([1, 9, None]), t, rnd.randint(1, 40), int(rnd.random() < 0.25)))
+    df = spark.createDataFrame(rows, "id long, user long, sec long, tokens long, failed int").withColumn("ts", F.timestamp_seconds("sec")).repartition(5)
+    clock = F.unix_micros("ts")
+    cases = [
+        (lambda s=None: sf.RateLimiter(s, **LIMITS), F.col("tokens"), lambda tok, f: tok, None),
+        (lambda s=None: sf.CircuitBreaker(s), F.col("failed"), lambda tok, f: f, None),
+        (lambda s=None: sf.Cooldown(s), F.lit(20 * S), lambda tok, f: 20 * S, 20 * S),
+    ]
+    for machine, value, plain, horizon in cases:
+        got = sf.ordered_scan(df, "user", clock, "id", value, machine, "o", horizon, slices=slices, most_rounds=rounds)
+        assert got.columns == [*df.columns, "o"]
+        assert {r.id: r.o for r in got.collect()} == loop(rows, machine, plain) and got.count() == len(rows)
+
+
+@pytest.mark.parametrize("kind", ["limiter", "breaker", "cooldown"])
 def test_stream_matches_batch(spark, log, tmp_path, kind):
     rows, df = log
     for i in range(3):  # three files in time order, one per micro-batch
         df.where((F.col("id") >= 200 * i) & (F.col("id") < 200 * (i + 1))).coalesce(1).write.parquet(str(tmp_path / f"in/part={i}"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
     clock = F.unix_micros("ts")
-    value = {"limiter": F.col("tokens"), "breaker": F.col("failed"), "cooldown": F.lit(300 * S), "cache": F.concat(F.lit("q"), (F.col("tokens") % 7).cast("string"))}[kind]
+    value = {"limiter": F.col("tokens"), "breaker": F.col("failed"), "cooldown": F.lit(300 * S)}[kind]
     make = {
         "limiter": lambda s=None: sf.RateLimiter(s, **LIMITS), "breaker": lambda s=None: sf.CircuitBreaker(s),
-        "cooldown": lambda s=None: sf.Cooldown(s), "cache": lambda s=None: sf.FifoCache(s, size=3),
+        "cooldown": lambda s=None: sf.Cooldown(s),
     }[kind]
     horizon = {"limiter": 600 * S, "cooldown": 300 * S}.get(kind)
     want = {r.id: r.o for r in sf.ordered_scan(df, "user", clock, "id", value, make, "o", horizon).collect()}
@@ -96,6 +118,76 @@ def test_stream_matches_batch(spark, log, tmp_path, kind):
     assert {r.id: r.o for r in st.run_available(out, kind).collect()} == want
 
 
+@pytest.fixture(scope="module")
+def events(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(900):
+        us = None if i % 97 == 0 else rnd.randrange(0, 40 * 3600) * S + rnd.randrange(S)
+        rows.append((i, rnd.choice([5, 5, 5, 1, 2, None]), us, rnd.choice(["error", "success"]), rnd.choice([None, 10, 20]), rnd.choice([None, 1.5, 2.5])))
+    ddl = "request_id long, user_id long, us long, status string, total_tokens long, latency_ms double"
+    return spark.createDataFrame(rows, ddl).withColumn("ts", F.timestamp_micros("us"))
+
+
+def feed(df, folder, orders):
+    """Write the rows in as many files as there are orders, the batches of a stream that reads one file at a time."""
+    for k, condition in enumerate(orders):
+        df.where(condition).coalesce(1).write.mode("append").parquet(folder)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+ORDERS = {
+    "one file": ["TRUE"],
+    "backwards": [f"us IS NULL AND {k} = 3 OR us BETWEEN {a} AND {a + 36_000 * S - 1}" for k, a in enumerate(range(108_000 * S, -1, -36_000 * S))],
+    "mixed": [f"request_id % 6 = {k}" for k in (4, 0, 5, 2, 1, 3)],
+}
+
+
+@pytest.mark.parametrize("order", list(ORDERS))
+def test_rollups_lose_nothing(spark, events, tmp_path, order):
+    """Slots, sliding windows and sessions of a stream equal those of the table, in any order of files."""
+    stream = feed(events, str(tmp_path / "in"), ORDERS[order])
+    slots = ru.rollup_stream(stream, ru.traffic_rollup("ts", sf.HOUR), sf.HOUR, sf.HOUR, str(tmp_path / "t"), str(tmp_path / "c"), fan=2)
+    timed = events.where("ts IS NOT NULL")
+    by = lambda df: {r[0]: tuple(r)[1:] for r in df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).collect()}
+    assert by(ru.tumbling_slots(slots, sf.HOUR)) == by(st.tumbling_metrics(timed, "ts", "1 hour"))
+    assert by(ru.sliding_slots(slots, sf.HOUR, 3)) == by(st.sliding_counts(timed, "ts", "3 hours", "1 hour"))
+    late = slots.agg(F.sum("late")).first()[0]
+    assert (late == 0) == (order == "one file") and slots.where("closed").count() > 30 and slots.where("NOT closed").count() >= 1
+    gap = 1800 * S
+    stream = feed(events.select("user_id", "ts", "us", "request_id"), str(tmp_path / "in2"), ORDERS[order])
+    slots = ru.rollup_stream(stream, ru.session_rollup("user_id", "ts", gap), gap, sf.HOUR, fan=3)
+    want = timed.groupBy("user_id", F.session_window("ts", "30 minutes")).count()
+    want = sorted((str(r.user_id), str(r.s), r["count"]) for r in want.select("user_id", F.col("session_window.start").cast("timestamp_ntz").alias("s"), "count").collect())
+    for got in (ru.sessions_of_slots(slots, gap), st.user_sessions(timed, "user_id", "ts", gap)):
+        assert sorted((str(r.user_id), str(r.session_start), r.requests) for r in got.collect()) == want
+
+
+def test_a_repeated_batch_counts_once(spark, events, tmp_path):
+    rollup = ru.traffic_rollup("ts", sf.HOUR)
+    write = ru.merge_into(rollup, str(tmp_path), sf.HOUR, 0, fan=2)
+    for k in (0, 1, 2, 2, 3, 3, 4):
+        write(events.where(f"request_id % 5 = {k}"), k)
+    assert ru.rollup_table(spark, rollup, str(tmp_path), sf.HOUR, 0).agg(F.sum("n")).first()[0] == events.where("ts IS NOT NULL").count()
+    found = parts.finished_parts(spark, str(tmp_path))
+    assert len(parts.cover(found)) <= 2 and parts.drop_covered(spark, str(tmp_path)) == len(found) - len(parts.cover(found))
+    assert ru.rollup_table(spark, rollup, str(tmp_path), sf.HOUR, 0).agg(F.sum("n")).first()[0] == events.where("ts IS NOT NULL").count()
+
+
+def test_parts():
+    assert parts.cover([(0, 0), (1, 1), (0, 1), (2, 2), (3, 3)]) == [(0, 1), (2, 2), (3, 3)]
+    assert parts.cover([(0, 0), (1, 1), (0, 3), (2, 2), (3, 3)], before=3) == [(0, 0), (1, 1), (2, 2)]
+
+
+@pytest.mark.parametrize("order", list(ORDERS))
+def test_log_table(spark, events, tmp_path, order):
+    """Each request arrives twice, in other batches too, late or not: it is logged once."""
+    twice = [*ORDERS[order], *ORDERS["mixed"][:2]]
+    got = st.log_table(feed(events, str(tmp_path / "in"), twice), "ts", "request_id", str(tmp_path / "log"))
+    assert got.columns == events.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, events.where(" OR ".join(f"({c})" for c in twice)).collect()))
+
+
 def test_index_sync_in_batches(spark, tmp_path):
     ddl = "doc_id long, content string"
     first = spark.createDataFrame([(1, "One text here. " * 40), (2, "Two.")], ddl)
