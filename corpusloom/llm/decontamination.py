@@ -258,15 +258,22 @@ def _search(phrases, names: tuple[str, str, str]):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Documents with n_words, hits (merged word spans that test phrases cover) and items (ids, sorted as strings)."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES, then=None) -> DataFrame:
+    """Documents with n_words, hits (merged word spans that test phrases cover) and items (ids, sorted as strings).
+
+    ``then`` takes the name of the hits and gives a function of record batches that runs in the same task as the last search.
+    """
     context = docs.sparkSession.sparkContext
     names = fresh("words"), fresh("hits"), fresh("items")
     out = docs.select("*", F.lit(0).cast("bigint").alias(names[0]), F.array().cast(SPANS).alias(names[1]), F.array().cast("array<string>").alias(names[2]))
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))).toLocalIterator()
     items = ((r[0], r[1].encode()) for r in rows)
-    for block in batches_of(items, block_bytes, lambda x: len(x[1])) if not benchmark.isEmpty() else [[]]:
-        out = out.mapInArrow(_search(context.broadcast(vars(Phrases(block, window))), names), out.schema)
+    blocks = batches_of(items, block_bytes, lambda x: len(x[1])) if not benchmark.isEmpty() else iter([[]])
+    block = next(blocks)
+    while block is not None:
+        search, block = _search(context.broadcast(vars(Phrases(block, window))), names), next(blocks, None)
+        last = then(names[1]) if then and block is None else None
+        out = out.mapInArrow(lambda batches, search=search, last=last: last(search(batches)) if last else search(batches), out.schema)
     added = dict(zip(("n_words", "hits", "items"), names))
     return out.select(*[c for c in docs.columns if c not in added], *[F.col(v).alias(k) for k, v in added.items()])
 
@@ -305,9 +312,9 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A document of which only marks and white space are left goes; documents without a hit stay as they are.
     """
     hits = fresh("hits")
-    found = find_leaks(docs, benchmark).withColumnRenamed("hits", hits).select(*docs.columns, hits)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in found.schema])
-    cut = found.mapInArrow(_cut(hits), schema).where((F.size(hits) == 0) | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+    found = find_leaks(docs.withColumnsRenamed({c: fresh(c) for c in docs.columns if c in ("n_words", "hits", "items")}), benchmark, then=_cut)
+    found = found.withColumnRenamed("hits", hits).drop("n_words", "items")
+    cut = found.toDF(*docs.columns, hits).where((F.size(hits) == 0) | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     n_chars = F.when(F.size(hits) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
     return cut.select(*[n_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
