@@ -1,5 +1,5 @@
-"""Document chunking. Greedy and paragraph chunks, numbering, metadata and statistics are plain columns; sentence-word and
-recursive splits are small helpers per text inside an Arrow UDF."""
+"""Document chunking. Texts are split and joined by plain columns, as are numbering, metadata and statistics. The bounds of greedy and
+paragraph chunks come from small helpers that see lengths only; sentence-word and recursive splits are helpers per text."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import re
 from collections.abc import Callable, Sequence
 from functools import partial
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,52 +106,62 @@ def sentence_word_array(text: Column, size: int = WORDS_PER_CHUNK, overlap: int
     return chunk_array(text, partial(sentence_word_chunks, size=size, overlap=overlap, faithful=faithful))
 
 
-def _fold_bounds(pieces: Column, size: int, keep_open: bool) -> Column:
-    """Chunk bounds (first piece, piece behind the last) over pieces (text, glue, cut).
+def greedy_ends(lengths, size: int = GREEDY_CHARS) -> list[int]:
+    """Ends of the chunks over sentences of these lengths: each chunk ends where its running length first passes ``size``.
 
-    The fold holds the length of the open chunk and where it starts. A ``cut`` piece closes the chunk in front of it
-    (``keep_open`` lets it go on all the same), and so does a piece that does not fit.
+    Every end is found by bisection of the running lengths, so a text costs as many steps as it has chunks.
     """
-    bound = lambda lo, hi: F.array(F.struct(lo.alias("lo"), hi.alias("hi")))
-    none = F.array().cast("array<struct<lo:int,hi:int>>")
-
-    def step(state, piece):
-        cleared = piece["cut"] & F.lit(not keep_open)
-        held = F.when(cleared, F.lit(0)).otherwise(state["held"])
-        lo = F.when(cleared, state["at"]).otherwise(state["lo"])
-        over = held + F.length(piece["text"]) > size
-        closed = F.concat(
-            state["bounds"],
-            F.when(piece["cut"], bound(state["lo"], state["at"])).otherwise(none),
-            F.when(over, bound(lo, state["at"])).otherwise(none),
-        )
-        return F.struct(
-            (F.when(over, F.lit(0)).otherwise(held) + F.length(piece["text"]) + F.length(piece["glue"])).alias("held"),
-            F.when(over, state["at"]).otherwise(lo).alias("lo"),
-            (state["at"] + 1).alias("at"),
-            closed.alias("bounds"),
-        )
+    run, ends, base = np.cumsum(lengths), [], 0
+    while (at := int(np.searchsorted(run, base + size, side="right"))) < len(run):
+        ends.append(at + 1)
+        base = run[at]
+    return ends if ends and ends[-1] == len(run) else [*ends, len(run)]
 
-    start = F.struct(F.lit(0).alias("held"), F.lit(0).alias("lo"), F.lit(0).alias("at"), none.alias("bounds"))
-    return F.aggregate(pieces, start, step, lambda s: F.concat(s["bounds"], bound(s["lo"], s["at"])))
 
+def piece_bounds(lengths, glue, cuts, size: int = PARAGRAPH_CHARS, keep_open: bool = False) -> list[int]:
+    """Chunk bounds (first piece, piece behind the last, and so on, flat) over pieces of these lengths with their glue.
 
-def greedy_array(text: Column, size: int = GREEDY_CHARS) -> Column:
-    """A chunk ends with the sentence whose running length, joining spaces left out, passes ``size``."""
-    sentences = F.split(F.regexp_replace(text, r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", ""), SENTENCE_GAP.pattern, -1)
+    A chunk is closed in front of a piece that does not fit any more, and in front of a ``cut`` piece; with ``keep_open``
+    a cut leaves it open, so that its pieces come again. The next piece that does not fit is found by bisection.
+    """
+    lengths, glue = np.asarray(lengths, np.int64), np.asarray(glue, np.int64)
+    n, stops = len(lengths), [*np.flatnonzero(cuts).tolist(), len(lengths)]
+    before = np.concatenate(([0], np.cumsum(lengths + glue)))
+    reach = before[:-1] + lengths  # never falls
+    bounds, lo, at, taken = [], 0, 0, 0  # taken: length in front of the open chunk
+    for stop in stops:
+        while at < stop:
+            full = max(at, int(np.searchsorted(reach, taken + size, side="right")))
+            if full >= stop:
+                break
+            bounds += [lo, full]
+            lo, at, taken = full, full + 1, before[full]
+        at = max(at, stop)
+        if stop < n:
+            bounds += [lo, stop]
+            if not keep_open:
+                lo, taken = stop, before[stop]
+    return [*bounds, lo, n]
+
+
+def _per_row(function, *columns: Column) -> Column:
+    """``array<int>`` of a function of arrays, over Arrow batches; null for null."""
+
+    def run(*rows: pd.Series) -> pd.Series:
+        return pd.Series([None if row[0] is None else function(*row) for row in zip(*rows)], dtype=object)
+
+    return F.pandas_udf(run, "array<int>")(*columns)
 
-    def step(state, n):
-        total = state["total"] + n
-        return F.struct(
-            F.when(total > size, F.lit(0)).otherwise(total).alias("total"),
-            (state["at"] + 1).alias("at"),
-            F.when(total > size, F.concat(state["ends"], F.array(state["at"] + 1))).otherwise(state["ends"]).alias("ends"),
-        )
 
-    start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
-    ends = lambda s: F.aggregate(F.transform(s, F.length), start, step, lambda x: F.array_distinct(F.concat(x["ends"], F.array(x["at"]))))
-    # sentences and ends are computed once, in the one element of an array
-    both = F.transform(F.array(sentences), lambda s: F.struct(s.alias("s"), ends(s).alias("e")))
+def greedy_array(text: Column, size: int = GREEDY_CHARS) -> Column:
+    """A chunk ends with the sentence whose running length, joining spaces left out, passes ``size``.
+
+    Only the lengths of the sentences leave the JVM, and only the ends of the chunks come back.
+    """
+    sentences = F.split(F.regexp_replace(text, r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", ""), SENTENCE_GAP.pattern, -1)
+    ends = _per_row(partial(greedy_ends, size=size), F.transform(sentences, F.length))
+    # sentences are computed once, in the one element of an array
+    both = F.array(F.struct(sentences.alias("s"), ends.alias("e")))
     return F.element_at(
         F.transform(both, lambda x: F.transform(x["e"], lambda hi, i: _joined(x["s"], F.when(i > 0, F.get(x["e"], i - 1)).otherwise(F.lit(0)), hi, " "))), 1
     )
@@ -182,12 +193,15 @@ def paragraph_array(text: Column, size: int = PARAGRAPH_CHARS, separator: str =
             ),
         )
     )
-    both = F.transform(F.array(pieces), lambda x: F.struct(x.alias("p"), _fold_bounds(x, size, faithful).alias("b")))
+    lengths = [F.transform(pieces, lambda x: F.length(x["text"])), F.transform(pieces, lambda x: F.length(x["glue"])), F.transform(pieces, lambda x: x["cut"].cast("int"))]
+    flat = _per_row(partial(piece_bounds, size=size, keep_open=faithful), *lengths)
+    pairs = lambda f: F.transform(F.sequence(F.lit(0), F.size(f) - 2, F.lit(2)), lambda i: F.struct(F.get(f, i).alias("lo"), F.get(f, i + 1).alias("hi")))
+    both = F.array(F.struct(pieces.alias("p"), flat.alias("f")))
     content = lambda p, b: F.array_join(F.transform(F.slice(p, b["lo"] + 1, b["hi"] - b["lo"]), lambda x: F.concat(x["text"], x["glue"])), "")
     chunks = F.transform(
         both,
         lambda x: F.transform(
-            F.filter(x["b"], lambda b: b["hi"] > b["lo"]), lambda b: F.regexp_replace(content(x["p"], b), r"^\s+|\s+$", "")
+            F.filter(pairs(x["f"]), lambda b: b["hi"] > b["lo"]), lambda b: F.regexp_replace(content(x["p"], b), r"^\s+|\s+$", "")
         ),
     )
     found = F.element_at(chunks, 1)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -200,22 +199,29 @@ def relevant_in_corpus(eval_set: DataFrame, corpus: DataFrame, ids: str = "relev
     return wanted.join(here, key, "left").groupBy("query_id").agg(F.count(key).alias("relevant"), F.count("_in").alias("indexed"))
 
 
-def ngrams(df: DataFrame, key: str, text_col: str, n: int) -> DataFrame:
-    """Rows (key, gram) of lower-case token n-grams, repeats included."""
-    toks = df.select(key, F.coalesce(tx.tokens(F.lower(text_col)), F.array().cast("array<string>")).alias("_t"))
-    grams = NGram(n=n, inputCol="_t", outputCol="_g").transform(toks)
-    return grams.select(key, F.explode("_g").alias("gram"))
+def gram_hashes(df: DataFrame, key: str, text_col: str, n: int) -> DataFrame:
+    """Rows (key, a, b): two 64-bit hashes of each lower-case token n-gram, repeats included. No gram is built as a string."""
+    tokens = F.coalesce(tx.tokens(F.lower(text_col)), F.array().cast("array<string>"))
+
+    def grams(words):
+        at = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+        parts = lambda i: [F.get(words, i + k) for k in range(n)]
+        return F.transform(at, lambda i: F.struct(F.xxhash64(*parts(i)).alias("a"), F.xxhash64(F.lit(n), *parts(i)).alias("b")))
+
+    # the word hashes are computed once, in the one element of an array
+    found = F.element_at(F.transform(F.array(F.transform(tokens, lambda t: F.xxhash64(t))), grams), 1)
+    return df.select(key, F.explode(F.array_distinct(found)).alias("g")).select(key, "g.*")
 
 
 def ngram_containment(items: DataFrame, corpus: DataFrame, item_key: str, item_text: str, corpus_key: str, corpus_text: str, n: int = 5) -> DataFrame:
-    """Share of an item's distinct n-grams that occur in the corpus.
+    """Share of an item's distinct n-grams that occur in the corpus. Grams are equal when their 128 bits of hashes are.
 
-    Corpus n-grams meet the items' distinct n-grams in a semi-join and are reduced to distinct ones
-    before anything else, so copies in the corpus never multiply.
+    Corpus n-grams are 16 bytes each, meet the items' distinct n-grams in a semi-join and are reduced to distinct ones
+    before anything else, so copies in the corpus never multiply. With few items Spark tests them where the corpus is scanned.
     """
-    wanted = ngrams(items, item_key, item_text, n).distinct()
-    found = ngrams(corpus, corpus_key, corpus_text, n).join(wanted.select("gram").distinct(), "gram", "left_semi").select("gram").distinct()
-    per_item = wanted.join(found.withColumn("_f", F.lit(1)), "gram", "left").groupBy(item_key).agg(
+    wanted = gram_hashes(items, item_key, item_text, n).distinct()
+    found = gram_hashes(corpus, corpus_key, corpus_text, n).join(wanted.select("a", "b").distinct(), ["a", "b"], "left_semi").select("a", "b").distinct()
+    per_item = wanted.join(found.withColumn("_f", F.lit(1)), ["a", "b"], "left").groupBy(item_key).agg(
         F.count(F.lit(1)).alias("grams"), F.count("_f").alias("grams_found")
     )
     return per_item.withColumn("containment", F.col("grams_found") / F.col("grams"))

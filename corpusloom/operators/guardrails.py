@@ -10,11 +10,12 @@ import re
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import patterns as pt
 from corpusloom.functions import text as tx
+from corpusloom.operators.sweep import running_sums
 
 MIN_CHARS, MAX_CHARS, MAX_SPECIAL = 10, 5000, 0.3
 MAX_TOKENS = 4000
@@ -271,30 +272,31 @@ def offered_load(
 ) -> DataFrame:
     """Requests and tokens a user offered just before each row, flagged against limits.
 
-    ``clock`` is in microseconds. A user's timeline is cut into slices of the longest window. Every row also
-    visits the next slice as context, so a slice sees all it needs and a busy user spreads over many tasks.
-    Rows with ``counted`` false are judged but do not load the windows.
+    ``clock`` is in microseconds. Every row loads its windows when it comes and takes its load away when it leaves them, so the
+    loads are running sums over these events. Rows with ``counted`` false are judged but do not load the windows.
     """
-    width = max(request_window, token_window)
     counted = F.lit(True) if counted is None else counted
-    rows = log.withColumn("_t", clock).withColumn("_n", tokens.cast("bigint")).withColumn("_c", counted)
-    own = F.floor(F.col("_t") / F.lit(width)).cast("bigint")
-    spread = rows.withColumn("_own", own).withColumn("_slice", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-    order = Window.partitionBy(user, "_slice").orderBy("_t")
-    one = F.when(F.col("_c"), 1).otherwise(0)
-    load = F.when(F.col("_c"), F.col("_n")).otherwise(0)
-    return (
-        spread.withColumn("requests_before", (F.sum(one).over(order.rangeBetween(-(request_window - 1), 0)) - one).cast("bigint"))
-        .withColumn("tokens_before", (F.sum(load).over(order.rangeBetween(-(token_window - 1), 0)) - load).cast("bigint"))
-        .where(F.col("_slice") == F.col("_own"))
-        .withColumn(
-            "rate_status",
-            F.when(F.col("requests_before") >= max_requests, "RATE_LIMIT_EXCEEDED")
-            .when(F.col("tokens_before") + F.col("_n") > max_tokens, "TOKEN_LIMIT_EXCEEDED")
-            .otherwise("ALLOWED"),
-        )
-        .drop("_t", "_n", "_c", "_own", "_slice")
+    rows = log.select("*", clock.alias("_t"), tokens.cast("bigint").alias("_n"), counted.alias("_c"))
+    one = F.when(F.col("_c"), 1).otherwise(0).cast("bigint")
+    load = F.when(F.col("_c"), F.coalesce("_n", F.lit(0))).otherwise(0).cast("bigint")
+    none = F.lit(0).cast("bigint")
+
+    def event(at, kind, requests, tokens_, row):
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), requests.alias("requests_before"), tokens_.alias("tokens_before"), row.alias("row"))
+
+    whole = F.struct(*log.columns, "_n", one.alias("_one"), load.alias("_load"))
+    gone = F.when(F.lit(False), whole)
+    # what leaves a window at some time is gone before what comes at that time is judged
+    events = F.array(event(F.col("_t"), 1, one, load, whole), event(F.col("_t") + request_window, 0, -one, none, gone), event(F.col("_t") + token_window, 0, none, -load, gone))
+    swept = running_sums(rows.select(F.col(user).alias("_user"), F.explode(events).alias("_e")).select("_user", "_e.*"), ["_user"], ["at", "kind"], ["requests_before", "tokens_before"])
+    judged = swept.where("row IS NOT NULL").select("row.*", "requests_before", "tokens_before")
+    judged = judged.withColumn("requests_before", F.col("requests_before") - F.col("_one")).withColumn("tokens_before", F.col("tokens_before") - F.col("_load"))
+    status = (
+        F.when(F.col("requests_before") >= max_requests, "RATE_LIMIT_EXCEEDED")
+        .when(F.col("tokens_before") + F.col("_n") > max_tokens, "TOKEN_LIMIT_EXCEEDED")
+        .otherwise("ALLOWED")
     )
+    return judged.withColumn("rate_status", status).drop("_n", "_one", "_load")
 
 
 # ---- audit

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.quantiles import as_row, exact_percentiles
+from corpusloom.operators.sweep import running_sums
 
 # Thresholds, rules and prices of the monitored service.
 SLOW_THRESHOLDS = {"simple": 500.0, "moderate": 1000.0, "complex": 2000.0}
@@ -122,7 +123,7 @@ def anomalies(log: DataFrame, baseline: DataFrame, latency_sigmas: float = 3.0,
     checks = F.array_compact(F.array(
         found(F.abs(z_lat) > latency_sigmas, "latency_zscore", lat, z_lat),
         found(lat > b["latency_p99"], "latency_percentile", lat, F.try_divide(lat, b["latency_p99"])),
-        found(lat > b["latency_iqr_high"], "latency_iqr", lat, lat / b["latency_iqr_high"]),
+        found(lat > b["latency_iqr_high"], "latency_iqr", lat, F.try_divide(lat, b["latency_iqr_high"])),
         found(F.abs(z_tok) > token_sigmas, "token_zscore", tok, z_tok),
     ))
     return (
@@ -385,32 +386,21 @@ def run_summary(log: DataFrame, by: Sequence[str] = ("category",)) -> DataFrame:
     )
 
 
-def concurrency_profile(log: DataFrame, unit: str = "HOURS", slice_width: str = "1 day") -> DataFrame:
+def concurrency_profile(log: DataFrame, unit: str = "HOURS", slices: int | None = None) -> DataFrame:
     """Latency and throughput by the number of requests in flight when a request starts.
 
-    A request is in flight from ``ts`` for ``latency_ms`` units. Starts and ends become +1 and -1. The
-    running sum is taken per time slice, and each slice starts from the sum of the slices before it, so
-    no task sees more than one slice.
+    A request is in flight from ``ts`` for ``latency_ms`` units. Starts and ends become +1 and -1, and the requests in flight
+    are their running sum.
     """
     micros = {"MINUTES": 60_000_000, "HOURS": 3_600_000_000, "SECONDS": 1_000_000, "MILLISECONDS": 1_000}[unit]
     start = F.unix_micros(F.col("ts").cast("timestamp"))
     end = start + F.round(F.col("latency_ms") * micros).cast("bigint")
-    points = log.select(F.explode(F.array(
-        F.struct(start.alias("at"), F.lit(1).cast("bigint").alias("delta")),
-        F.struct(end.alias("at"), F.lit(-1).cast("bigint").alias("delta")),
-    )).alias("p")).select("p.*")
-    steps = points.groupBy("at").agg(F.sum("delta").alias("delta"))
-    steps = steps.withColumn("slice", F.window(F.timestamp_micros("at"), slice_width)["start"])
-    per_slice = steps.groupBy("slice").agg(F.sum("delta").alias("net"))
-    before = Window.partitionBy(F.lit(0)).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_slice.select("slice", F.coalesce(F.sum("net").over(before), F.lit(0)).alias("carry"))
-    inside = Window.partitionBy("slice").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    level = (
-        steps.withColumn("run", F.sum("delta").over(inside))
-        .join(carry, "slice")
-        .select("at", (F.col("run") + F.col("carry")).alias("in_flight"))
-    )
-    seen = log.select(start.alias("at"), "latency_ms").join(level, "at")
+
+    def step(at, by, starts):
+        return F.struct(at.alias("at"), F.lit(by).cast("bigint").alias("in_flight"), F.lit(starts).alias("starts"), F.col("latency_ms"))
+
+    steps = log.select(F.explode(F.array(step(start, 1, True), step(end, -1, False))).alias("p")).select("p.*")
+    seen = running_sums(steps, [], ["at"], ["in_flight"], slices).where("starts")
     return seen.groupBy("in_flight").agg(
         F.count(F.lit(1)).alias("requests"),
         F.avg("latency_ms").alias("avg_latency"),

@@ -1,25 +1,24 @@
 """Exact order statistics that never put a whole group into one task.
 
-``percentile`` keeps every distinct value of a group in one reducer. Here a sketch
-(``percentile_approx``, error at most n/accuracy ranks) brackets each wanted rank first. In a second
-pass the values outside all brackets collapse into one counter per gap, on the map side, so that only
-the few bracketed values are ranked. The result is exact: a rank that falls outside its bracket raises.
+``percentile`` keeps every distinct value of a group in one reducer. Here values fall into buckets of a fixed relative width,
+in order of size, and each task sends one counter per group and bucket: a histogram that is merged like any sum and
+that no value can miss. Running sums over it tell in which bucket a rank lies. Only values of those buckets, a small share of
+a group, are counted one by one and ranked, bucket by bucket. The result is exact, the plan is one plan without any job
+while it is built, and nothing depends on the number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialise
-
-DEFAULT_ACCURACY = 100_000
-MARGIN = 4.0
-
-
-SMALL_ROWS = 10_000
+STEPS = 1024  # buckets for each doubling of a value
+OFFSET = 1_200_000  # above STEPS x the largest exponent, so that a bucket has its value's sign
+EDGE = 1 << 29
 
 
 def as_row(df: DataFrame) -> Column:
@@ -35,105 +34,60 @@ def as_row(df: DataFrame) -> Column:
     return local.select(F.struct("*").alias("row")).scalar()
 
 
-def small_side(df: DataFrame, label: str, bound: int = SMALL_ROWS) -> DataFrame:
-    """A join side computed once: local and broadcast if it has at most ``bound`` rows, else a written table."""
-    rows = df.limit(bound + 1).collect()
-    if len(rows) <= bound:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return materialise(df, label)
+def value_bucket(v: Column) -> Column:
+    """A bucket number that never falls as the value grows. NaN is the largest value, as everywhere in Spark."""
+    size = F.floor(F.log2(F.abs(v)) * STEPS) + OFFSET
+    finite = F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0))
+    edge = F.when(F.isnan(v), F.lit(2 * EDGE)).when(v == float("inf"), F.lit(EDGE)).when(v == float("-inf"), F.lit(-EDGE))
+    return F.coalesce(edge.cast("bigint"), F.when(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(0)).otherwise(finite)).cast("bigint")
 
 
 def exact_percentiles(
-    df: DataFrame,
-    value: str | Column,
-    wanted: Mapping[str, float],
-    by: Sequence[str] = (),
-    extra: Sequence[Column] = (),
-    method: str = "linear",
-    accuracy: int = DEFAULT_ACCURACY,
+    df: DataFrame, value: str | Column, wanted: Mapping[str, float], by: Sequence[str] = (), extra: Sequence[Column] = (), method: str = "linear"
 ) -> DataFrame:
     """One row per group: the keys, ``extra`` aggregates and one column per wanted percentile.
 
     ``linear`` interpolates between neighbours, as pandas and ``percentile`` do. ``nearest`` takes the
     zero-based rank ``int(n * p)`` when a group has at least 20 rows, else its maximum. ``extra`` is
-    computed in the sketch pass over all columns of ``df``.
+    computed over all columns of ``df``. A group without values has no row, a frame without values one row of nulls.
     """
-    by = list(by)
-    val = (F.col(value) if isinstance(value, str) else value).cast("double")
-    src = df.withColumn("_v", val)
-    names = list(wanted)
-    eps = MARGIN / accuracy
-    levels = [x for p in wanted.values() for x in (max(0.0, p - eps), min(1.0, p + eps))]
-    level_array = F.array(*[F.lit(x) for x in levels])
-
-    stats = src.groupBy(*by).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", level_array, accuracy).alias("_q"),
-        *extra,
+    by, names = list(by), list(wanted)
+    v = F.col("_v")
+    value = F.col(value) if isinstance(value, str) else value
+    narrow = df.select(*by, value.cast("double").alias("_v")).where(v.isNotNull()).withColumn("_b", value_bucket(v))
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    order = group.orderBy("_b")  # a row for each bucket, however many values
+    ends = narrow.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c")).select(
+        *by, "_b", (F.sum("_c").over(order) - F.col("_c")).alias("_start"), F.sum("_c").over(order).alias("_end"), F.sum("_c").over(group).alias("_n")
     )
-    n = F.col("_n")
-    bracketed = n >= accuracy
-    edges, ranks = [], []
+    n, ranks = F.col("_n"), []
     for i, p in enumerate(wanted.values()):
-        edges.append(F.when(bracketed, F.col("_q")[2 * i]).otherwise(F.lit(float("-inf"))).alias(f"lo{i}"))
-        edges.append(F.when(bracketed, F.col("_q")[2 * i + 1]).otherwise(F.lit(float("inf"))).alias(f"hi{i}"))
         if method == "linear":
             pos = F.lit(float(p)) * (n - 1)
         elif method == "nearest":
             pos = F.when(n >= 20, F.floor(n * F.lit(float(p)))).otherwise(n - 1).cast("double")
         else:
             raise ValueError(f"unknown method {method}")
-        ranks.append(F.floor(pos).alias(f"r{i}"))
-        ranks.append(F.ceil(pos).alias(f"s{i}"))
-        ranks.append((pos - F.floor(pos)).alias(f"f{i}"))
-    plan = F.struct(*edges, *ranks).alias("_b")
-
-    narrow = src.where(F.col("_v").isNotNull()).select(*by, "_v")
-    extra_names = [c for c in stats.columns if c not in ("_n", "_q", *by)]
-    if by:
-        shared = small_side(stats.select(*[F.col(c).alias(f"_k_{c}") for c in by], plan, *extra_names), "percentile-brackets")
-    else:
-        shared = as_row(stats.select(plan, *extra_names))
-
-    def with_stats(df: DataFrame, *columns: str) -> DataFrame:
-        if not by:
-            return df.withColumns({c: shared[c] for c in columns})
-        on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
-        keys = [f"_k_{c}" for c in by]
-        return df.join(shared.select(*keys, *columns), on).drop(*keys)
-
-    marked = with_stats(narrow, "_b")
-    v, inside = F.col("_v"), F.lit(False)
-    floor_edge = F.lit(float("-inf"))
-    for i in range(len(names)):
-        lo, hi = F.col(f"_b.lo{i}"), F.col(f"_b.hi{i}")
-        inside = inside | ((v >= lo) & (v <= hi))
-        floor_edge = F.greatest(floor_edge, F.when(hi < v, hi).otherwise(F.lit(float("-inf"))))
-    counted = (
-        marked.select(*by, F.when(inside, v).otherwise(floor_edge).alias("_v"), (~inside).alias("_gap"))
-        .groupBy(*by, "_v", "_gap")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_v", "_gap")
-    ranked = counted.withColumn(
-        "_end", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).withColumn("_start", F.col("_end") - F.col("_c"))
-
-    def at(rank: str) -> Column:
-        here = (F.col("_start") <= F.col(f"_b.{rank}")) & (F.col(f"_b.{rank}") < F.col("_end"))
-        lost = F.raise_error(F.lit("percentile bracket missed its rank; raise accuracy")).cast("double")
-        return F.max(F.when(here, F.when(F.col("_gap"), lost).otherwise(v)))
-
-    picked = with_stats(ranked, "_b").groupBy(*by).agg(
-        *[at(f"r{i}").alias(f"_lo{i}") for i in range(len(names))],
-        *[at(f"s{i}").alias(f"_hi{i}") for i in range(len(names))],
-        *[F.first(f"_b.f{i}").alias(f"_f{i}") for i in range(len(names))],
-    )
-    result = picked.select(
-        *by,
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name)
-            for i, name in enumerate(names)
-        ],
-    )
-    return with_stats(result, *extra_names) if extra else result
+        ranks += [F.floor(pos).alias(f"r{i}"), F.ceil(pos).alias(f"s{i}"), (pos - F.floor(pos)).alias(f"f{i}")]
+    ends = ends.withColumn("_r", F.struct(*ranks))
+    sides = [f"{x}{i}" for i in range(len(names)) for x in "rs"]
+    within = lambda rank: (F.col("_start") <= F.col(f"_r.{rank}")) & (F.col(f"_r.{rank}") < F.col("_end"))
+    asked = ends.where(reduce(or_, map(within, sides))).select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_b").alias("_k_b"), "_start", "_r")
+    if not by:
+        asked = F.broadcast(asked)  # two rows a percentile at most
+    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by] + [F.col("_b") == F.col("_k_b")]
+    counted = narrow.join(asked, on).groupBy(*by, "_b", "_v", "_start", "_r").agg(F.count(F.lit(1)).alias("_c"))
+    run = F.sum("_c").over(Window.partitionBy(*by, "_b").orderBy("_v"))
+    ranked = counted.withColumn("_end", F.col("_start") + run).withColumn("_start", F.col("_end") - F.col("_c"))
+    at = lambda rank: F.max(F.when(within(rank), v)).alias(f"_{rank}")
+    picked = ranked.groupBy(*by).agg(*map(at, sides), *[F.first(f"_r.f{i}").alias(f"_f{i}") for i in range(len(names))])
+    exact = [(F.col(f"_r{i}") + (F.col(f"_s{i}") - F.col(f"_r{i}")) * F.col(f"_f{i}")).alias(name) for i, name in enumerate(names)]
+    result = picked.select(*by, *exact)
+    if not extra:
+        return result
+    stats = df.groupBy(*by).agg(*extra)
+    if not by:
+        return result.withColumn("_e", stats.select(F.struct("*")).scalar()).select(*names, "_e.*")
+    added = [c for c in stats.columns if c not in by]
+    stats = stats.select(*[F.col(c).alias(f"_k_{c}") for c in by], *added)
+    return result.join(stats, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]).select(*by, *names, *added)

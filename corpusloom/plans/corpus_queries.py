@@ -11,7 +11,9 @@ from corpusloom.plans.shared import r6, rounded
 from corpusloom.session import scratch_path
 from corpusloom.sources import sinks
 from corpusloom.sources.bindings import docs, prompts
+from corpusloom.sources.change_feed import change_feed, write_digests
 from corpusloom.sources.tables import table
+from corpusloom.streaming.stateful import run_available
 
 D = ("v_docs",)
 WSQ = r"[ \t\n\r\f]"
@@ -108,6 +110,31 @@ def _(spark, root):
     return sinks.index_changes(*sync_inputs(spark, root), key="doc_id", content="content")
 
 
+def snapshot_digests(spark, root):
+    """Two snapshots, the indexed documents and the current ones, as digests."""
+    current, indexed = sync_inputs(spark, root)
+    path = scratch_path(spark, "snapshots")
+    for version, docs_ in enumerate((indexed, current), 1):
+        write_digests(docs_, path, version, "doc_id", "content")
+    return path
+
+
+FEED = f"""WITH {SYNC_CTE} SELECT doc_id, 'insert' AS action, CAST(1 AS BIGINT) AS version FROM old UNION ALL
+  SELECT doc_id, CASE WHEN o.content IS NULL THEN 'insert' WHEN n.content IS NULL THEN 'delete' ELSE 'update' END AS action, 2
+  FROM old o FULL JOIN new n USING (doc_id) WHERE o.content IS DISTINCT FROM n.content"""
+
+
+@query("change_feed", FEED)
+def _(spark, root):
+    return change_feed(spark, snapshot_digests(spark, root)).withColumnRenamed("key", "doc_id")
+
+
+@query("change_feed_stream", FEED)
+def _(spark, root):
+    stream = change_feed(spark, snapshot_digests(spark, root), stream=True)
+    return run_available(stream, "change-feed").withColumnRenamed("key", "doc_id")
+
+
 @query("index_after_sync", f"WITH {SYNC_CTE} SELECT doc_id, md5(content) AS digest FROM new")
 def _(spark, root):
     current, indexed = sync_inputs(spark, root)
@@ -243,7 +270,19 @@ def _(spark, root):
     return ck.explode_chunks(docs(spark, root), ck.recursive_array(F.col("content")), ["category", "title"])
 
 
-@query("paragraph_chunks")
+PARAGRAPH_CTE = r"""pp AS (SELECT doc_id, string_split(content, chr(10)) AS ps FROM v_docs),
+pc AS (SELECT doc_id, flatten(list_transform(ps, lambda p: CASE WHEN length(p) <= 500 THEN [{'t': p, 'g': chr(10), 'c': false}]
+  ELSE list_transform(string_split(regexp_replace(p, '\. ', '.' || chr(31), 'g'), chr(31)), lambda s, i: {'t': s, 'g': ' ', 'c': i = 1}) END)) AS x FROM pp),
+pr(doc_id, i, chunk, held) AS (
+  SELECT doc_id, CAST(0 AS BIGINT), 0, CAST(0 AS BIGINT) FROM pc
+  UNION ALL SELECT r.doc_id, i + 1, CASE WHEN x[i + 1].c OR held + length(x[i + 1].t) > 500 THEN chunk + 1 ELSE chunk END,
+    CASE WHEN x[i + 1].c OR held + length(x[i + 1].t) > 500 THEN 0 ELSE held END + length(x[i + 1].t) + length(x[i + 1].g) FROM pr r JOIN pc ON r.doc_id = pc.doc_id WHERE i < len(x)),
+pk AS (SELECT r.doc_id, chunk, regexp_replace(string_agg(x[i].t || x[i].g, '' ORDER BY i), '^\s+|\s+$', '', 'g') AS content FROM pr r JOIN pc ON r.doc_id = pc.doc_id WHERE i > 0 GROUP BY 1, 2),
+pn AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY chunk) - 1 AS chunk_index, content FROM pk WHERE content <> '')"""
+
+
+@query("paragraph_chunks", f"""WITH {PARAGRAPH_CTE} SELECT pn.doc_id || '_chunk_' || chunk_index AS chunk_id, pn.doc_id, category, title, chunk_index,
+  count(*) OVER (PARTITION BY pn.doc_id) AS total_chunks, pn.content, length(pn.content) AS char_count FROM pn JOIN v_docs d ON d.doc_id = pn.doc_id""", D, recursive=True)
 def _(spark, root):
     # The corpus separates paragraphs by single newlines.
     return ck.explode_chunks(docs(spark, root), ck.paragraph_array(F.col("content"), separator="\n"), ["category", "title"])

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from corpusloom.operators import answers as an
 from corpusloom.operators import embedding as em
 from corpusloom.operators import retrieval as rt
+from corpusloom.operators import vector_cells as vc
+from corpusloom.operators import vector_store as vs
 from corpusloom.plans.corpus_queries import WSQ, sql_squeeze, sql_tokens, sync_inputs
 from corpusloom.plans.monitoring_queries import DIAG_LATENCY_CTE, HIGH, SLA
 from corpusloom.operators import monitoring as mo
@@ -14,6 +16,7 @@ from corpusloom.plans.registry import query
 from corpusloom.plans.shared import r6, rounded
 from corpusloom.sources.bindings import claims, docs, policies, prompts, question_vectors, questions, traffic
 from corpusloom.sources.tables import table
+from corpusloom.session import scratch_path
 
 DQ = ("v_docs", "v_questions")
 VQ = ("v_question_vectors",)
@@ -41,6 +44,18 @@ def _(spark, root):
     return em.pending_texts(docs(spark, root), indexed).select("doc_id", "copies")
 
 
+@query("embedded_corpus", """SELECT doc_id, length(text) > 10 AS has_vector, CAST(CASE WHEN text IN (SELECT d.text FROM documents d SEMI JOIN labels l ON d.doc_id = l.doc_id) THEN 0 ELSE 1 END AS BIGINT) AS run,
+  count(*) OVER (PARTITION BY text) AS copies FROM documents""")
+def _(spark, root):
+    """Labelled documents are embedded by a first run, the rest of the corpus by a second."""
+    path, d = scratch_path(spark, "vector-store"), docs(spark, root).select("doc_id", "content")
+    vs.embed_new(sync_inputs(spark, root)[1], path, 0)
+    vs.embed_new(d, path, 1)
+    copies = d.groupBy(vs.content_digest("content").alias("g")).agg(F.count(F.lit(1)).alias("copies"))
+    found = vs.with_vectors(d, path).withColumn("g", vs.content_digest("content")).drop("content")
+    return found.join(copies, "g").select("doc_id", F.col("embedding").isNotNull().alias("has_vector"), "run", "copies")
+
+
 @query("vector_health", f"""SELECT label, count(*) AS vectors, count(*) FILTER (embedding IS NULL) AS nulls, CAST(min(len(embedding)) AS INT) AS min_dim,
   CAST(max(len(embedding)) AS INT) AS max_dim, {r6("min(n)")} AS min_norm, {r6("max(n)")} AS max_norm, count(*) FILTER (len(embedding) <> 64) AS wrong_dim
   FROM (SELECT *, sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS n FROM embeddings) GROUP BY label""")
@@ -78,6 +93,34 @@ def _(spark, root):
     return rt.recall_at_k(rt.approximate_search(celled, centres, q, 10), exact)
 
 
+CELLS, PROBES = 16, 6
+STORED_CTE = f"""ev AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),
+ce AS (SELECT CAST(row_number() OVER (ORDER BY sha256(CAST(vec_id AS VARCHAR)), vec_id) - 1 AS INT) AS cell, v FROM ev QUALIFY row_number() OVER (ORDER BY sha256(CAST(vec_id AS VARCHAR)), vec_id) <= {CELLS}),
+cv AS (SELECT vec_id, ev.v, cell FROM ev, ce QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(list_cosine_similarity(ev.v, ce.v), 9) DESC, cell) = 1),
+pr AS (SELECT query_id, query_vec, cell FROM v_question_vectors, ce QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(query_vec, ce.v), 9) DESC, cell) <= {PROBES}),
+st AS (SELECT query_id, vec_id AS hit_id, {r6("list_cosine_similarity(query_vec, v)")} AS score FROM pr JOIN cv USING (cell) WHERE vec_id <> query_id),
+stored AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, hit_id) AS rank FROM st QUALIFY rank <= 10)"""
+
+
+def stored_search(spark, root):
+    v, q = vectors(spark, root).select("vec_id", "embedding"), qvec(spark, root)
+    path = scratch_path(spark, "vector-cells")
+    centres = vc.fixed_centres(v, CELLS)
+    vc.write_cells(v, centres, path)
+    return vc.search_cells(spark, path, centres, q, 10, PROBES)
+
+
+@query("stored_search", f"WITH {STORED_CTE} SELECT query_id, hit_id, score, rank FROM stored", VQ)
+def _(spark, root):
+    return stored_search(spark, root)
+
+
+@query("stored_search_recall", f"""WITH {STORED_CTE}, {vector_cte('ex', 10)}
+SELECT count(*) AS expected, count(stored.hit_id) AS found, count(stored.hit_id) / CAST(count(*) AS DOUBLE) AS recall FROM ex LEFT JOIN stored USING (query_id, hit_id)""", VQ)
+def _(spark, root):
+    return rt.recall_at_k(stored_search(spark, root), rt.vector_search(vectors(spark, root), qvec(spark, root), 10))
+
+
 # ---- keyword search
 
 DL_CTE = "dl AS MATERIALIZED (SELECT doc_id, lower(content) AS c, lower(title) AS t FROM v_docs)"

@@ -63,7 +63,7 @@ def _(spark, root):
 DAY = 24 * sf.HOUR
 
 
-@query("circuit_breaker", f"""WITH o AS (SELECT request_id, user_id, epoch_us(ts) AS us, CAST(status = 'error' AS INT) AS f, row_number() OVER (PARTITION BY user_id ORDER BY ts, request_id) AS rn FROM v_traffic),
+BREAKER_SQL = f"""WITH o AS (SELECT request_id, user_id, epoch_us(ts) AS us, CAST(status = 'error' AS INT) AS f, row_number() OVER (PARTITION BY user_id ORDER BY ts, request_id) AS rn FROM v_traffic),
 r(user_id, rn, request_id, st, succ, nxt, win, breaker) AS (
   SELECT user_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), 'CLOSED', 0, CAST(0 AS BIGINT), CAST([] AS INT[]), '' FROM o WHERE rn = 1
   UNION ALL SELECT user_id, rn, request_id, s1, CASE WHEN s0 = 'HALF_OPEN' AND f = 0 THEN c0 + 1 ELSE c0 END,
@@ -73,29 +73,53 @@ r(user_id, rn, request_id, st, succ, nxt, win, breaker) AS (
       SELECT *, CASE WHEN s0 = 'OPEN' THEN win WHEN len(win) >= 50 THEN list_append(win[2:], f) ELSE list_append(win, f) END AS w1 FROM (
         SELECT o.user_id, o.rn, o.request_id, o.us, o.f, r.nxt, r.win, CASE WHEN r.st = 'OPEN' AND o.us >= r.nxt THEN 'HALF_OPEN' ELSE r.st END AS s0,
           CASE WHEN r.st = 'OPEN' AND o.us >= r.nxt THEN 0 ELSE r.succ END AS c0 FROM r JOIN o ON o.user_id = r.user_id AND o.rn = r.rn + 1))))
-SELECT request_id, user_id, breaker FROM r WHERE rn > 0""", V, recursive=True)
+SELECT request_id, user_id, breaker FROM r WHERE rn > 0"""
+
+
+@query("circuit_breaker", BREAKER_SQL, V, recursive=True)
 def _(spark, root):
     log = traffic(spark, root).select("request_id", "user_id", "ts", "status")
     return sf.circuit_breaker(log, "user_id", clock(), "request_id", F.col("status") == "error", recovery=DAY).select("request_id", "user_id", "breaker")
 
 
+@query("circuit_breaker_stream", BREAKER_SQL, V, recursive=True)
+def _(spark, root):
+    log = log_stream(spark, root).select("request_id", "user_id", "ts", "status")
+    failed = (F.col("status") == "error").cast("int")
+    out = st.stateful_stream(log, "user_id", F.unix_micros("ts"), "request_id", failed, lambda s=None: sf.CircuitBreaker(s, recovery=DAY), "breaker")
+    return st.run_available(out, "circuit-breaker").select("request_id", "user_id", "breaker")
+
+
 # Windows are one hour, so the cooldowns are scaled to hours.
 COOL = {"critical": 3 * 3600, "warning": 6 * 3600}
 
 
-@query("alert_cooldown", f"""WITH {WINDOW_ALERTS_CTE},
+COOLDOWN_SQL = f"""WITH {WINDOW_ALERTS_CTE},
 o AS (SELECT window_start, rule, severity, epoch_us(window_start) AS us, row_number() OVER (PARTITION BY rule ORDER BY window_start) AS rn,
   CASE severity WHEN 'critical' THEN {COOL['critical'] * sf.SECOND} ELSE {COOL['warning'] * sf.SECOND} END AS cd FROM al),
 r(rule, rn, window_start, severity, fired, outcome) AS (
   SELECT rule, CAST(0 AS BIGINT), CAST(NULL AS TIMESTAMP), '', CAST(NULL AS BIGINT), '' FROM o WHERE rn = 1
   UNION ALL SELECT o.rule, o.rn, o.window_start, o.severity, CASE WHEN r.fired IS NULL OR o.us - r.fired >= o.cd THEN o.us ELSE r.fired END,
     CASE WHEN r.fired IS NULL OR o.us - r.fired >= o.cd THEN 'FIRED' ELSE 'SUPPRESSED' END FROM r JOIN o ON o.rule = r.rule AND o.rn = r.rn + 1)
-SELECT window_start, rule, severity, outcome FROM r WHERE rn > 0""", V, recursive=True)
+SELECT window_start, rule, severity, outcome FROM r WHERE rn > 0"""
+
+
+@query("alert_cooldown", COOLDOWN_SQL, V, recursive=True)
 def _(spark, root):
     alerts = materialise(window_alerts(traffic(spark, root)).drop("message"), "alerts")
     return sf.alert_cooldown(alerts, "rule", clock("window_start"), "severity", COOL)
 
 
+@query("alert_cooldown_stream", COOLDOWN_SQL, V, recursive=True)
+def _(spark, root):
+    """The alerts as a stream of their own, with the cooldown of each rule in its state."""
+    alerts, path = window_alerts(traffic(spark, root)).drop("message"), scratch_path(spark, "alerts")
+    alerts.write.parquet(path)
+    stream = spark.readStream.schema(alerts.schema).parquet(path)
+    out = st.stateful_stream(stream, "rule", clock("window_start"), "severity", sf.cooldown_column("severity", COOL), lambda s=None: sf.Cooldown(s), "outcome")
+    return st.run_available(out, "alert-cooldown").select("window_start", "rule", "severity", "outcome")
+
+
 @query("response_cache", f"""SELECT doc_id, {_KEY} AS cache_key, CASE WHEN row_number() OVER (PARTITION BY {_KEY} ORDER BY doc_id) = 1 THEN 'MISS' ELSE 'HIT' END AS cache_result FROM v_docs""", ("v_docs",))
 def _(spark, root):
     d = docs(spark, root).select("doc_id", reuse_key(F.col("content")).alias("k"))

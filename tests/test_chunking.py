@@ -28,6 +28,48 @@ def test_paragraph_chunks_modes(spark):
     assert chunks_of(spark, text, lambda t: ck.paragraph_array(t, 20)) == ["Intro.", "Aaaa bbbb.", "Cccc dddd.", "Eeee ffff."]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=60), st.integers(0, 40))
+def test_greedy_ends(lengths, size):
+    want, total = [], 0
+    for i, n in enumerate(lengths):
+        total += n
+        if total > size:
+            want.append(i + 1)
+            total = 0
+    assert ck.greedy_ends(lengths, size) == (want if want and want[-1] == len(lengths) else [*want, len(lengths)])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 2), st.booleans()), min_size=1, max_size=60), st.integers(1, 40), st.booleans())
+def test_piece_bounds(pieces, size, keep_open):
+    want, held, lo = [], 0, 0
+    for i, (n, glue, cut) in enumerate(pieces):
+        if cut:
+            want += [(lo, i)]
+            if not keep_open:
+                held, lo = 0, i
+        if held + n > size:
+            want += [(lo, i)]
+            held, lo = 0, i
+        held += n + glue
+    want += [(lo, len(pieces))]
+    got = ck.piece_bounds(*zip(*pieces), size=size, keep_open=keep_open)
+    assert [b for b in zip(got[::2], got[1::2]) if b[0] < b[1]] == [b for b in want if b[0] < b[1]]
+
+
+def test_long_texts_in_linear_time(spark):
+    import time
+
+    took = []
+    for n in (10_000, 40_000):
+        df = spark.createDataFrame([("A short one. " * n,)], "t string")
+        start = time.time()
+        df.select(F.size(ck.greedy_array(F.col("t"))), F.size(ck.paragraph_array(F.col("t")))).collect()
+        took.append(time.time() - start)
+    assert took[1] < 8 * took[0] + 2
+
+
 def test_recursive_chunks_overlap():
     words = " ".join(f"w{i:03d}" for i in range(60))
     chunks = ck.recursive_chunks(words, 50, 20)

@@ -115,7 +115,7 @@ def test_sync_actions(spark):
 
 def test_concurrency(spark):
     df = spark.createDataFrame([(0, 10.0), (5, 10.0), (12, 1.0), (40, 1.0)], "m int, latency_ms double").withColumn("ts", F.timestamp_seconds(F.col("m") * 60))
-    rows = {r.in_flight: r.requests for r in mo.concurrency_profile(df, "MINUTES", "10 minutes").collect()}
+    rows = {r.in_flight: r.requests for r in mo.concurrency_profile(df, "MINUTES", 3).collect()}
     assert rows == {1: 2, 2: 2}
 
 

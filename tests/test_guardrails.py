@@ -1,5 +1,8 @@
 import re
 
+from functools import partial
+
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import patterns as pt
@@ -81,9 +84,13 @@ def test_masks_leave_nothing(spark):
     assert re.search(r"Mail [0-9a-f]{16}, call", row.h)
 
 
-def test_rate_check_matches_brute_force(spark):
+@pytest.mark.parametrize("partitions", ["1", "9"])
+def test_rate_check_matches_brute_force(spark, partitions, monkeypatch):
     import random
 
+    # as many slices as partitions, so a user lies in several of them
+    monkeypatch.setattr(gd, "running_sums", partial(gd.running_sums, slices=int(partitions)))
+
     rnd = random.Random(2)
     rows = [(i, 0 if rnd.random() < 0.5 else rnd.randint(1, 3), rnd.randint(0, 400), rnd.randint(1, 9)) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, u int, t long, n int")
