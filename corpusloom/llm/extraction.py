@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from itertools import product
 
 import pyarrow as pa
@@ -40,10 +41,12 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|([^<]++|<)", re.S)
 ATTRIBUTE = re.compile(r"(?<![^\s\"'/])([^\s\"'>/=]++)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 FRAMES = frozenset("html body main article".split())  # their names tell of the page, not of their text
+CONDITIONS = frozenset("has with without no open opened closed active enabled disabled visible hidden fixed".split())  # names of a state, not of a part
 FEATURES = ("words", "links", "words_before", "links_before", "words_behind", "links_behind", "article", "outside_article", "furniture", "heading", "sentence")
 
 
 def furniture(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether an element is furniture by its tag, or by a name that is not just a condition of a frame (``has-sidebar``)."""
     if tag in FURNITURE_TAGS and not (tag == "header" and in_article):
         return True
     if tag in FRAMES:
@@ -51,28 +54,70 @@ def furniture(tag: str, attributes: str, in_article: bool) -> bool:
     for attribute, value in ATTRIBUTE.findall(attributes):
         if attribute.lower() not in ("class", "id", "role"):
             continue
-        names = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-        if any(n in FURNITURE_WORDS for n in names) and not (in_article and "header" in names):
-            return True
+        for token in value.strip("\"'").split():
+            names = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            if any(n in FURNITURE_WORDS for n in names) and not any(n in CONDITIONS for n in names) and not (in_article and "header" in names):
+                return True
     return False
 
 
+class Open:
+    """The open elements, with counts of what they are, so that no step looks through all of them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.count: Counter = Counter()
+        self.outer: list[int] = []  # places of the elements that are not inline
+        self.forms: list[int] = []
+
+    def push(self, tag: str, kinds: tuple[str, ...], form: int | None) -> None:
+        if tag not in INLINE:
+            self.outer.append(len(self.stack))
+        if form is not None:
+            self.forms.append(form)
+        self.stack.append((tag, kinds))
+        self.count.update((f"<{tag}>", *kinds))
+
+    def cut(self, k: int) -> None:
+        while len(self.stack) > k:
+            tag, kinds = self.stack.pop()
+            self.count.subtract((f"<{tag}>", *kinds))
+            if tag == "form":
+                self.forms.pop()
+        while self.outer and self.outer[-1] >= k:
+            self.outer.pop()
+
+    def close(self, tag: str) -> None:
+        if self.count[f"<{tag}>"]:
+            k = len(self.stack) - 1
+            while self.stack[k][0] != tag:
+                k -= 1
+            self.cut(k)
+
+    def close_p(self) -> None:
+        if self.outer and self.stack[self.outer[-1]][0] == "p":
+            self.cut(self.outer[-1])
+
+
 def blocks(page: str) -> list[dict]:
-    """Text blocks in page order: text, n words, linked words, and the state of the open elements."""
+    """Text blocks in page order: text, n words, linked words, and the state of the open elements.
+
+    A form that holds most words of a page is a frame around it and no furniture.
+    """
     out: list[dict] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, furniture, labelled as main
-    text: list[str] = []
-    linked, at, size = 0, 0, len(page)
+    opened, text = Open(), []
+    linked, at, size, n_forms = 0, 0, len(page), 0
     article = False
+    count = opened.count
 
     def close():
         nonlocal text, linked
         words = references.unescape("".join(text)).split()
         if words:
-            tags = {x[0] for x in stack}
             out.append({
-                "text": " ".join(words), "words": len(words), "links": min(linked, len(words)) / len(words), "article": bool(tags & {"article", "main"}),
-                "furniture": any(x[1] for x in stack), "heading": bool(tags & HEADINGS), "sentence": words[-1][-1] in ".!?…:;\"'”»", "main": any(x[2] for x in stack),
+                "text": " ".join(words), "words": len(words), "links": min(linked, len(words)) / len(words), "article": count["article"] > 0,
+                "furniture": count["furniture"] > 0, "forms": tuple(opened.forms), "heading": count["heading"] > 0,
+                "sentence": words[-1][-1] in ".!?…:;\"'”»", "main": count["main"] > 0,
             })
         text, linked = [], 0
 
@@ -85,9 +130,9 @@ def blocks(page: str) -> list[dict]:
         at = m.end()
         slash, tag, attributes, chars = m.groups()
         if chars:
-            if not any(x[0] in SILENT for x in stack):
+            if not count["silent"]:
                 text.append(chars)
-                if any(x[0] == "a" for x in stack):
+                if count["<a>"]:
                     linked += len(chars.split())
             continue
         if not tag:
@@ -98,28 +143,29 @@ def blocks(page: str) -> list[dict]:
         elif tag == "br":
             text.append(" ")
         if slash:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            opened.close(tag)
             continue
         article |= tag in ("article", "main")
         if tag in CLOSES_P:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+            opened.close_p()
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
-            inside = any(x[0] in ("article", "main") for x in stack)
-            stack.append((tag, furniture(tag, attributes, inside), "data-main" in attributes))
+            is_kind = (
+                ("silent", tag in SILENT), ("article", tag in ("article", "main")), ("heading", tag in HEADINGS), ("main", "data-main" in attributes),
+                ("furniture", tag != "form" and furniture(tag, attributes, count["article"] > 0)),
+            )
+            n_forms += tag == "form"
+            opened.push(tag, tuple(k for k, held in is_kind if held), n_forms if tag == "form" else None)
     close()
+    inside: Counter = Counter()
+    for b in out:
+        inside.update({f: b["words"] for f in b["forms"]})
+    most = sum(b["words"] for b in out) / 2
     for b in out:
         b["page_has_article"] = article
+        b["furniture"] |= any(inside[f] <= most for f in b.pop("forms"))
     return out
 
 
@@ -141,12 +187,17 @@ def labelled_pages() -> list[str]:
     is named or told by its links alone.
     """
     say = lambda n: " ".join("word" for _ in range(n)) + "."
-    menu = lambda n: "".join(f"<li><a href='/x'>{'word ' * (1 + k % 3)}</a></li>" for k in range(n))
+    def menu(n):  # of items of changing length, so that their number of words tells nothing
+        return "".join(f"<li><a href='/x'>{'word ' * ((1, 4, 2, 9, 3)[(k + n + len(pages)) % 5])}</a></li>" for k in range(n))
+
     pages = []
-    for frame, length, side, paragraphs in product(("article", "main", "div"), (1, 3, 8, 20, 45, 90), (3, 15, 40, 100), (1, 4)):
-        body = f"<h1 data-main>{'word ' * min(12, length)}</h1>" + "".join(f"<p data-main>{say(length + 7 * k)}</p>" for k in range(paragraphs))
+    for frame, length, side, paragraphs, head in product(("article", "main", "div"), (1, 8, 20, 45, 90), (3, 40, 100), (1, 3), (0, 2, 12)):
+        body = f"<h1 data-main>{'word ' * min(head, length)}</h1>" * (head > 0) + "".join(f"<p data-main>{say(length + 7 * k)}</p>" for k in range(paragraphs))
+        # headings over paragraphs: outside an article only what follows tells them from headings over links
+        body += "".join(f"<h3 data-main>word word</h3><p data-main>{say(max(20, length) + k)}</p>" for k in range(paragraphs))
         if frame != "div":
             body += "".join(f"<p data-main>{say(k)}</p>" for k in (1, 2, 3, 4)) + "<p data-main>word</p><p data-main>word word</p>"
+            body += "".join(f"<p data-main>{'word ' * (length - k)}<a href='/q'>{'word ' * k}</a></p><p data-main>{say(length)}</p>" for k in {length // 2, 2 * length // 3} if length > 3)
         elif length < 20:
             continue  # too short to tell without any cue
         inner = f"<div class='ad'>{say(side)}</div><aside><p>{say(side)}</p></aside><section class='comments'><h3>word word</h3><p>{say(side)}</p><p>{say(3)}</p></section>"
@@ -155,6 +206,7 @@ def labelled_pages() -> list[str]:
             f"<nav><ul>{menu(6)}</ul></nav><div class='ad'>{say(side)}</div><div class='cookie-notice'><p>{say(side)}</p></div><{frame}>{body}{inner}</{frame}>"
             f"<form><p>{say(9)}</p></form><div class='sidebar'><h2>word word</h2><p>{say(side)}</p></div><p><a href='/z'>{say(side)}</a></p><footer><h4>word word</h4>{say(side)}</footer>"
         )
+        pages.append(f"<ul>{menu(4)}</ul><{frame}>{body}</{frame}><h3>word word</h3><ul>{menu(3)}</ul><p><a href='/z'>{say(side)}</a></p>")
         pages.append(
             f"<ul>{menu(8)}</ul>{stray}<{frame}>{body}<ul>{menu(5)}</ul><p><a href='/z'>{say(side)}</a></p></{frame}>"
             f"<p><a href='/y'>word word word</a> word</p><h3>word word</h3><ul>{menu(4)}</ul><p><a href='/z'>{say(side)}</a> word</p>{stray}"
@@ -162,14 +214,15 @@ def labelled_pages() -> list[str]:
     return pages
 
 
-def train_tree(spark: SparkSession, depth: int = 6):
+def train_tree(spark: SparkSession, depth: int = 8):
     """The tree as nested tuples (feature, threshold, left, right), leaves as 0.0 or 1.0."""
-    rows = []
+    counts: Counter = Counter()
     for page in labelled_pages():
         found = blocks(page)
-        rows += [(Vectors.dense(f), float(b["main"])) for f, b in zip(features(found), found)]
-    table = spark.createDataFrame(rows, ["features", "label"])
-    model = DecisionTreeClassifier(maxDepth=depth, seed=1, minInstancesPerNode=2).fit(table)
+        counts.update((*f, float(b["main"])) for f, b in zip(features(found), found))
+    rows = [(Vectors.dense(row[:-1]), row[-1], float(n)) for row, n in sorted(counts.items())]
+    table = spark.createDataFrame(rows, ["features", "label", "n"])
+    model = DecisionTreeClassifier(maxDepth=depth, seed=1, weightCol="n").fit(table)
 
     def node(n):
         if n.getClass().getSimpleName() == "LeafNode":
