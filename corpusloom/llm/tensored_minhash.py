@@ -35,6 +35,7 @@ from corpusloom.llm.decontamination import text_bytes
 
 COLLECTIONS, ROWS = 16, 3
 ORDER_BITS = 18  # shingle frequencies are counted in 2**18 classes: any order is exact, a good one is quick
+SKETCH_WORDS = 8  # of 64 parities
 PERCENT = 80
 SHINGLE_WORDS = 5
 
@@ -126,12 +127,16 @@ def prefix_pairs(sets: DataFrame, of: DataFrame, percent: int) -> DataFrame:
     ``sets`` has (id, members), ``of`` has (id, component). Shingles are ordered by (count of their class, hash). If two
     sets are similar enough, their first common shingle has enough shingles from its place on in both sets; the larger
     set's lies in its first (1 - t) part, the smaller set's in its first 1 - 2t / (1 + t) part.
+
+    A set also carries the parities of its shingles in 512 classes. Two sketches differ in no more bits than the sets differ in
+    shingles, so a pair whose sketches differ in more than similar sets can is not formed: sets of one crowd that
+    only share a common stock stay apart.
     """
     counts = shingle_counts(sets)
 
     def run(batches):
         for batch in batches:
-            ids, tokens, places, sizes = [], [], [], []
+            ids, tokens, places, sizes, odd = [], [], [], [], []
             for k, s in enumerate(batch.column("members")):
                 x = np.frombuffer(s.as_buffer(), np.uint64)
                 n = len(x)
@@ -141,15 +146,23 @@ def prefix_pairs(sets: DataFrame, of: DataFrame, percent: int) -> DataFrame:
                 tokens.append(x[front].view(np.int64))
                 places.append(np.arange(len(front)))
                 sizes.append(np.full(len(front), n))
+                parity = np.bincount((x >> np.uint64(55)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+                odd.append(np.repeat(np.packbits(parity.astype(np.uint8)).view(np.int64)[None], len(front), 0))
             if ids:
                 at = np.concatenate(ids)
                 columns = [batch.column("id").take(pa.array(at)), batch.column("component").take(pa.array(at))]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(np.concatenate(c)) for c in (tokens, places, sizes)], names=["id", "component", "token", "place", "n"])
+                columns += [pa.array(np.concatenate(c)) for c in (tokens, places, sizes)]
+                columns += [pa.array(np.ascontiguousarray(c)) for c in np.concatenate(odd).T]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "component", "token", "place", "n", *words])
 
-    fronts = sets.join(of, "id").select("id", "component", "members").mapInArrow(run, "id bigint, component bigint, token bigint, place bigint, n bigint")
+    words = [f"odd{k}" for k in range(SKETCH_WORDS)]
+    kinds = "id bigint, component bigint, token bigint, place bigint, n bigint, " + ", ".join(f"{w} bigint" for w in words)
+    fronts = sets.join(of, "id").select("id", "component", "members").mapInArrow(run, kinds)
     fronts = materialise(fronts, "minhash-fronts")
     short = fronts.where(F.expr(f"(n - place) * {100 + percent} >= {2 * percent} * n")).alias("x")
-    both = short.join(fronts.alias("y"), F.expr("x.token = y.token AND struct(x.n, x.id) < struct(y.n, y.id) AND x.component <> y.component") & F.expr(f"100 * x.n >= {percent} * y.n AND least(x.n - x.place, y.n - y.place) * {100 + percent} >= {percent} * (x.n + y.n)"))
+    differ = " + ".join(f"bit_count(x.{w} ^ y.{w})" for w in words)
+    apart = F.expr(f"({differ}) * {100 + percent} <= {100 - percent} * (x.n + y.n)")
+    both = short.join(fronts.alias("y"), F.expr("x.token = y.token AND struct(x.n, x.id) < struct(y.n, y.id) AND x.component <> y.component") & F.expr(f"100 * x.n >= {percent} * y.n AND least(x.n - x.place, y.n - y.place) * {100 + percent} >= {percent} * (x.n + y.n)") & apart)
     return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
