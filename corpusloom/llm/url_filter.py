@@ -2,9 +2,10 @@
 
 A list entry is a canonical (host, path). It covers its host with all subdomains and every path that starts with its
 path. A url is cut into the candidate entries that could cover it: for each shape (number of host labels, path length)
-on the list, the host's last labels and the path's first characters. A blocked Bloom filter, one 512-bit block per key,
-passes the possible hits; an exact join with the list removes false positives. The filter has a fixed number of blocks,
-so what is broadcast never grows with the list: a longer list only passes more false positives to the exact join.
+on the list, the host's last labels and the path's first characters; with a list of very many shapes, for each host ending and
+each path beginning of the url itself. A blocked Bloom filter, one 512-bit block per key, passes the possible hits; an exact
+join with the list removes false positives. The filter has about 16 bits an entry and at most ``MOST_BLOCKS`` blocks, so
+what is broadcast is bounded: a list beyond that only passes more false positives to the exact join.
 
 Defined cases: a null url and a url without "://" have an empty host and path and match nothing; equal urls are judged
 once; ties in length cannot differ in entry; empty tables give no rows. Added columns replace input columns of the name.
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import fresh, lower_ascii, materialise
 
 WORDS = 8  # 64-bit words in a block
-MOST_SHAPES = 4096
+MOST_SHAPES = 4096  # beyond, the candidates come from the url alone
+MOST_BLOCKS = 1 << 17  # of 72 bytes in the broadcast
+BLOCK_ENTRIES = 32
 
 
 def url_parts(url):
@@ -49,15 +52,24 @@ def bloom_blocks(entries: DataFrame, blocks: int) -> DataFrame:
     return marked.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
-def shapes_of(entries: DataFrame) -> list[tuple[int, int]]:
-    """Distinct (host labels, path length) of the list; more than MOST_SHAPES is an error, not a cut."""
-    found = entries.select(F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("length")).distinct().limit(MOST_SHAPES + 1).collect()
-    if len(found) > MOST_SHAPES:
-        raise ValueError(f"the list has more than {MOST_SHAPES} shapes of host and path")
-    return sorted((r[0], r[1]) for r in found)
+def shapes_of(entries: DataFrame, most: int = MOST_SHAPES) -> list[tuple[int, int]] | None:
+    """Distinct (host labels, path length) of the list; None if there are more than ``most``."""
+    found = entries.select(F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("length")).distinct().limit(most + 1).collect()
+    return sorted((r[0], r[1]) for r in found) if len(found) <= most else None
 
 
-def filter_urls(pages: DataFrame, entries: DataFrame, otherwise: str = "allow", blocks: int = 4096) -> DataFrame:
+def candidates(shapes: list[tuple[int, int]] | None):
+    """The candidate entries (host, path) of a url (h, p), distinct."""
+    if shapes is not None:
+        return F.array_distinct(F.array(*[F.struct(F.substring_index("h", ".", -n).alias("host"), F.substring("p", 1, k).alias("path")) for n, k in shapes]))
+    # every ending of the host at a dot with every beginning of the path
+    labels = F.split("h", r"\.")
+    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.array_join(F.slice(labels, n, F.size(labels)), "."))
+    paths = F.transform(F.sequence(F.lit(0), F.length("p")), lambda k: F.substring(F.col("p"), F.lit(1), k))
+    return F.flatten(F.transform(hosts, lambda host: F.transform(paths, lambda path: F.struct(host.alias("host"), path.alias("path")))))
+
+
+def filter_urls(pages: DataFrame, entries: DataFrame, otherwise: str = "allow", blocks: int | None = None, most_shapes: int = MOST_SHAPES) -> DataFrame:
     """Pages with host, path, rule and verdict. ``entries``: (host, path, verdict, named).
 
     The longest covering entry decides. ``rule`` names it if it is ``named``; entries that are not (a plain list of bad
@@ -67,11 +79,11 @@ def filter_urls(pages: DataFrame, entries: DataFrame, otherwise: str = "allow",
     split = url_parts(F.col("url"))
     judged = pages.withColumn(host, split[0]).withColumn(path, split[1])
     urls = judged.select(F.col(host).alias("h"), F.col(path).alias("p")).where("h <> ''").distinct()
-    shapes = shapes_of(entries)
+    shapes = shapes_of(entries, most_shapes)
+    blocks = blocks or min(MOST_BLOCKS, max(1, -(-entries.count() // BLOCK_ENTRIES)))
     hits = urls.limit(0).select("h", "p", F.lit("").alias("rule"), F.lit("").alias("verdict"))
-    if shapes:
-        tries = F.array(*[F.struct(F.substring_index("h", ".", -n).alias("host"), F.substring("p", 1, k).alias("path")) for n, k in shapes])
-        tried = urls.select("h", "p", F.explode(F.array_distinct(tries)).alias("t")).select("h", "p", "t.host", "t.path")
+    if shapes != []:
+        tried = urls.select("h", "p", F.explode(candidates(shapes)).alias("t")).select("h", "p", "t.host", "t.path")
         tried = tried.withColumn("block", _block(F.col("host"), F.col("path"), blocks))
         tests = [F.col(f"w{i}").bitwiseAND(b) != 0 for i, b in enumerate(_bits(F.col("host"), F.col("path")))]
         possible = tried.join(F.broadcast(bloom_blocks(entries, blocks)), "block")
