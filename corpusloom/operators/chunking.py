@@ -1,13 +1,14 @@
-"""Document chunking. Texts are split and joined by plain columns, as are numbering, metadata and statistics. The bounds of greedy and
-paragraph chunks come from small helpers that see lengths only; sentence-word and recursive splits are helpers per text."""
+"""Document chunking. Splitters are small helpers per text over Arrow batches, whose bounds are found by bisection of running lengths;
+numbering, metadata and statistics are plain columns."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Sequence
 from functools import partial
+from itertools import accumulate
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from corpusloom.functions import text as tx
 
 WS_CHARS = " \t\n\r\f"
 SENTENCE_GAP = re.compile(r"(?<=[.!?])[ \t\n\r\f]+")
+SENTENCE_END = re.compile(r"(?<=\.) ")
+TRIMMED = " \t\n\x0b\f\r"
 NON_WS = re.compile(r"[^ \t\n\r\f]+")
 
 # Chunk sizes of the study, and the separators of the recursive splitter.
@@ -106,108 +109,77 @@ def sentence_word_array(text: Column, size: int = WORDS_PER_CHUNK, overlap: int
     return chunk_array(text, partial(sentence_word_chunks, size=size, overlap=overlap, faithful=faithful))
 
 
-def greedy_ends(lengths, size: int = GREEDY_CHARS) -> list[int]:
+def greedy_ends(lengths: Sequence[int], size: int = GREEDY_CHARS) -> list[int]:
     """Ends of the chunks over sentences of these lengths: each chunk ends where its running length first passes ``size``.
 
     Every end is found by bisection of the running lengths, so a text costs as many steps as it has chunks.
     """
-    run, ends, base = np.cumsum(lengths), [], 0
-    while (at := int(np.searchsorted(run, base + size, side="right"))) < len(run):
+    run, ends, base = list(accumulate(lengths)), [], 0
+    while (at := bisect_right(run, base + size)) < len(run):
         ends.append(at + 1)
         base = run[at]
     return ends if ends and ends[-1] == len(run) else [*ends, len(run)]
 
 
-def piece_bounds(lengths, glue, cuts, size: int = PARAGRAPH_CHARS, keep_open: bool = False) -> list[int]:
-    """Chunk bounds (first piece, piece behind the last, and so on, flat) over pieces of these lengths with their glue.
+def piece_bounds(lengths: Sequence[int], glue: Sequence[int], cuts: Sequence[bool], size: int = PARAGRAPH_CHARS, keep_open: bool = False) -> list[tuple[int, int]]:
+    """Chunk bounds (first piece, piece behind the last) over pieces of these lengths with their glue, empty chunks left out.
 
     A chunk is closed in front of a piece that does not fit any more, and in front of a ``cut`` piece; with ``keep_open``
     a cut leaves it open, so that its pieces come again. The next piece that does not fit is found by bisection.
     """
-    lengths, glue = np.asarray(lengths, np.int64), np.asarray(glue, np.int64)
-    n, stops = len(lengths), [*np.flatnonzero(cuts).tolist(), len(lengths)]
-    before = np.concatenate(([0], np.cumsum(lengths + glue)))
-    reach = before[:-1] + lengths  # never falls
+    n = len(lengths)
+    before = [0, *accumulate(a + b for a, b in zip(lengths, glue))]
+    reach = [a + b for a, b in zip(before, lengths)]  # never falls
     bounds, lo, at, taken = [], 0, 0, 0  # taken: length in front of the open chunk
-    for stop in stops:
+    for stop in [*(i for i, cut in enumerate(cuts) if cut), n]:
         while at < stop:
-            full = max(at, int(np.searchsorted(reach, taken + size, side="right")))
+            full = max(at, bisect_right(reach, taken + size))
             if full >= stop:
                 break
-            bounds += [lo, full]
+            bounds.append((lo, full))
             lo, at, taken = full, full + 1, before[full]
         at = max(at, stop)
         if stop < n:
-            bounds += [lo, stop]
+            bounds.append((lo, stop))
             if not keep_open:
                 lo, taken = stop, before[stop]
-    return [*bounds, lo, n]
+    return [b for b in [*bounds, (lo, n)] if b[0] < b[1]]
 
 
-def _per_row(function, *columns: Column) -> Column:
-    """``array<int>`` of a function of arrays, over Arrow batches; null for null."""
-
-    def run(*rows: pd.Series) -> pd.Series:
-        return pd.Series([None if row[0] is None else function(*row) for row in zip(*rows)], dtype=object)
-
-    return F.pandas_udf(run, "array<int>")(*columns)
+def greedy_chunks(text: str, size: int = GREEDY_CHARS) -> list[str]:
+    """A chunk ends with the sentence whose running length, joining spaces left out, passes ``size``."""
+    sentences = SENTENCE_GAP.split(text.strip(WS_CHARS))
+    ends = greedy_ends([len(s) for s in sentences], size)
+    return [" ".join(sentences[a:b]) for a, b in zip([0, *ends], ends)]
 
 
 def greedy_array(text: Column, size: int = GREEDY_CHARS) -> Column:
-    """A chunk ends with the sentence whose running length, joining spaces left out, passes ``size``.
+    return chunk_array(text, partial(greedy_chunks, size=size))
 
-    Only the lengths of the sentences leave the JVM, and only the ends of the chunks come back.
-    """
-    sentences = F.split(F.regexp_replace(text, r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", ""), SENTENCE_GAP.pattern, -1)
-    ends = _per_row(partial(greedy_ends, size=size), F.transform(sentences, F.length))
-    # sentences are computed once, in the one element of an array
-    both = F.array(F.struct(sentences.alias("s"), ends.alias("e")))
-    return F.element_at(
-        F.transform(both, lambda x: F.transform(x["e"], lambda hi, i: _joined(x["s"], F.when(i > 0, F.get(x["e"], i - 1)).otherwise(F.lit(0)), hi, " "))), 1
-    )
 
+def paragraph_chunks(text: str, size: int = PARAGRAPH_CHARS, separator: str = "\n\n", faithful: bool = False) -> list[str]:
+    """Paragraphs are packed up to ``size``; a longer one is packed by sentence."""
+    pieces = []  # text, glue, cut
+    for p in text.split(separator):
+        if len(p) <= size:
+            pieces.append((p, separator, False))
+        else:
+            parts = p.split("|") if faithful else [p]
+            pieces += [(s, " ", i == 0) for i, s in enumerate(s for part in parts for s in SENTENCE_END.split(part))]
+    bounds = piece_bounds([len(t) for t, _, _ in pieces], [len(g) for _, g, _ in pieces], [c for _, _, c in pieces], size, faithful)
+    chunks = ["".join(t + g for t, g, _ in pieces[a:b]).strip(TRIMMED) for a, b in bounds]
+    return chunks if faithful else [c for c in chunks if c]
 
-def _joined(parts: Column, lo: Column, hi: Column, glue: str) -> Column:
-    return F.array_join(F.slice(parts, lo + 1, hi - lo), glue)
+
+def paragraph_array(text: Column, size: int = PARAGRAPH_CHARS, separator: str = "\n\n", mode: str = "fixed") -> Column:
+    """``faithful`` repeats the text before a too long paragraph in the chunk after it and keeps empty chunks; ``fixed`` does neither."""
+    return chunk_array(text, partial(paragraph_chunks, size=size, separator=separator, faithful=mode == "faithful"))
 
 
 def recursive_array(text: Column, size: int = RECURSIVE_CHARS, overlap: int = RECURSIVE_OVERLAP) -> Column:
     return chunk_array(text, partial(recursive_chunks, size=size, overlap=overlap))
 
 
-def paragraph_array(text: Column, size: int = PARAGRAPH_CHARS, separator: str = "\n\n", mode: str = "fixed") -> Column:
-    """Paragraphs are packed up to ``size``; a longer one is packed by sentence.
-
-    ``faithful`` repeats the text before a too long paragraph in the chunk after it and keeps empty
-    chunks; ``fixed`` does neither.
-    """
-    faithful = mode == "faithful"
-    sentences = lambda p: F.split(p, r"(?<=\.) ", -1)
-    split_long = (lambda p: F.flatten(F.transform(F.split(p, r"\|", -1), sentences))) if faithful else sentences
-    piece = lambda t, glue, cut: F.struct(t.alias("text"), F.lit(glue).alias("glue"), cut.alias("cut"))
-    pieces = F.flatten(
-        F.transform(
-            F.split(text, re.escape(separator), -1),
-            lambda p: F.when(F.length(p) <= size, F.array(piece(p, separator, F.lit(False)))).otherwise(
-                F.transform(split_long(p), lambda s, i: piece(s, " ", i == 0))
-            ),
-        )
-    )
-    lengths = [F.transform(pieces, lambda x: F.length(x["text"])), F.transform(pieces, lambda x: F.length(x["glue"])), F.transform(pieces, lambda x: x["cut"].cast("int"))]
-    flat = _per_row(partial(piece_bounds, size=size, keep_open=faithful), *lengths)
-    pairs = lambda f: F.transform(F.sequence(F.lit(0), F.size(f) - 2, F.lit(2)), lambda i: F.struct(F.get(f, i).alias("lo"), F.get(f, i + 1).alias("hi")))
-    both = F.array(F.struct(pieces.alias("p"), flat.alias("f")))
-    content = lambda p, b: F.array_join(F.transform(F.slice(p, b["lo"] + 1, b["hi"] - b["lo"]), lambda x: F.concat(x["text"], x["glue"])), "")
-    chunks = F.transform(
-        both,
-        lambda x: F.transform(
-            F.filter(pairs(x["f"]), lambda b: b["hi"] > b["lo"]), lambda b: F.regexp_replace(content(x["p"], b), r"^\s+|\s+$", "")
-        ),
-    )
-    found = F.element_at(chunks, 1)
-    return found if faithful else F.filter(found, lambda c: c != "")
-
-
 def explode_chunks(docs: DataFrame, chunks: Column, keep: Sequence[str], id_col: str = "doc_id") -> DataFrame:
     """One row per chunk, keyed by (document, index), with the document's columns carried along."""
     return (
