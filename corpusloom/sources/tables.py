@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -54,7 +53,3 @@ def whole_documents(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
         .select("path", "modificationTime", F.decode("content", "UTF-8").alias("raw"))
     )
-
-
-def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
