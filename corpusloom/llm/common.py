@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialise  # noqa: F401  (written tables in the shared folder)
+from corpusloom.session import materialise, scratch_path
 from corpusloom.sources.tables import table
 
 WHITE = r"\x20\x09-\x0D"
@@ -33,6 +33,19 @@ def sha256_hex(col):
     return F.sha2(col.cast("binary"), 256)
 
 
+def write_once(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Like ``materialise``, with the folder, so that a table that nothing reads any more can be discarded."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table. What was made from it must be written, not just planned."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def connected_components(edges: DataFrame, label: str = "components", most_rounds: int = 50) -> DataFrame:
     """(node, component): the smallest node reachable from each node of ``edges`` (a, b), by alternating star steps.
 

@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusloom.llm import hashing as H
 from corpusloom.llm.common import batches_of, fresh, sha256_hex

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm import hashing as H
-from corpusloom.llm.common import materialise
+from corpusloom.llm.common import discard, materialise, write_once
 from corpusloom.llm.decontamination import text_bytes
 
 LENGTH = 400
@@ -105,7 +105,10 @@ def repeated(rows: DataFrame) -> DataFrame:
 
 def doubled_ranks(units: DataFrame, length: int = LENGTH) -> DataFrame:
     """(id, th, i, k): positions whose unit of 2**k is not unique, for all k up to the threshold."""
-    now = materialise(repeated(materialise(units, "suffix-units")), "suffix-ranks")
+    spark = units.sparkSession
+    units, path = write_once(units, "suffix-units")
+    now = materialise(repeated(units), "suffix-ranks")
+    discard(spark, path)
     levels, k = now.select("id", "th", "i", F.lit(0).alias("k")), 0
     while True:
         offset = 1 << k
@@ -114,11 +117,12 @@ def doubled_ranks(units: DataFrame, length: int = LENGTH) -> DataFrame:
         pairs = now.where(F.col("len") < length).select(
             "id", "th", "i", (F.col("len") + F.min("len").over(ahead)).alias("len"), F.xxhash64("rank", F.min("rank").over(ahead)).alias("rank")
         )
-        pairs = materialise(pairs.where("len IS NOT NULL"), "suffix-pairs")
+        pairs, path = write_once(pairs.where("len IS NOT NULL"), "suffix-pairs")
         if pairs.isEmpty():
             return levels
         k += 1
         now = materialise(repeated(pairs), "suffix-ranks")
+        discard(spark, path)
         levels = levels.union(now.select("id", "th", "i", F.lit(k).alias("k")))
 
 
@@ -143,6 +147,7 @@ def intervals(text: bytes, levels: np.ndarray | None, length: int = LENGTH) -> l
 
 
 CERTAIN, SINGLE, SPEAKER = 1, 2, 3
+AGAIN, EDGE = 1, 2
 INTERVALS = "array<struct<inner:bigint,outer:bigint,low:int,high:int>>"
 
 
@@ -198,19 +203,20 @@ def judged_intervals(table: DataFrame) -> DataFrame:
             columns = [batch.column(c).filter(keep) for c in ("id", "th", "low", "high")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kind[kind > 0], pa.int32())], names=["id", "th", "low", "high", "kind"])
 
-    rows = materialise(table.select("id", "th", F.explode("intervals").alias("x")).select("id", "th", "x.*"), "suffix-intervals")
+    rows, path = write_once(table.select("id", "th", F.explode("intervals").alias("x")).select("id", "th", "x.*"), "suffix-intervals")
     spread = rows.repartitionByRange("inner", "outer", "id", "th", "low").sortWithinPartitions("inner", "outer")
-    return spread.mapInArrow(run, "id bigint, th bigint, low int, high int, kind int")
+    judged = materialise(spread.mapInArrow(run, "id bigint, th bigint, low int, high int, kind int"), "suffix-judged")
+    discard(table.sparkSession, path)
+    return judged
 
 
 def string_hashes(table: DataFrame, judged: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(w, id, th, s, n): hashes of the 400-byte strings of intervals to be tested; s is null for those that only speak.
+    """(w, id, th, s): hashes of the 400-byte strings of intervals to be tested; s is null for those that only speak.
 
-    n is the number of rows with this id and text: the intervals of repeated rows are equal, so each string stands n times.
+    The intervals of repeated rows are equal, and each of the rows gives the strings of all of them, so each stands once a row.
     """
     asked = judged.where(F.col("kind") != CERTAIN).groupBy("id", "th").agg(F.collect_set(F.struct("low", "high", "kind")).alias("part"))
-    texts = table.where("text IS NOT NULL").groupBy("id", "th").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
-    both = texts.join(materialise(asked, "suffix-asked"), ["id", "th"])
+    both = table.where("text IS NOT NULL").select("id", "th", "text").join(materialise(asked, "suffix-asked"), ["id", "th"])
 
     def run(batches):
         for batch in batches:
@@ -224,21 +230,59 @@ def string_hashes(table: DataFrame, judged: DataFrame, length: int = LENGTH) ->
                     now = s[at : at + ROWS]
                     single = np.repeat(kind, n)[at : at + ROWS] == SINGLE
                     ids = [pa.array(np.full(len(now), batch.column(c)[d].as_py(), np.int64)) for c in ("id", "th")]
-                    yield pa.RecordBatch.from_arrays([pa.array(H.span_hash(sums, now, now + length).view(np.int64)), *ids, pa.array(now, pa.int32(), mask=~single), pa.array(np.full(len(now), batch.column("n")[d].as_py(), np.int64))], names=["w", "id", "th", "s", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(H.span_hash(sums, now, now + length).view(np.int64)), *ids, pa.array(now, pa.int32(), mask=~single)], names=["w", "id", "th", "s"])
 
-    return both.mapInArrow(run, "w bigint, id bigint, th bigint, s int, n bigint")
+    return both.mapInArrow(run, "w bigint, id bigint, th bigint, s int")
+
+
+def repeated_strings(strings: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(id, th, low, high): the tested strings whose hash stands more than once, from one sort by hash.
+
+    Equal hashes are neighbours in a task. A hash at the start or end of a task may go on in the next one, so each task
+    also tells its first and last row; these two rows a task are compared among themselves.
+    """
+
+    def run(batches):
+        last, was, seen = None, False, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if not seen:
+                yield told(batch.slice(0, 1), np.array([EDGE]))
+            seen += batch.num_rows
+            rows = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+            w = rows.column("w").to_numpy()
+            same = w[1:] == w[:-1]
+            again = np.append(same, False) | np.append(was, same)
+            was, last = bool(again[-1]), rows.slice(len(w) - 1)
+            at = np.flatnonzero(again[:-1])
+            yield told(rows.take(pa.array(at)), np.full(len(at), AGAIN))
+        if seen > 1:  # a single row is its task's first and last, told once
+            yield told(last, np.array([EDGE]))
+            if was:
+                yield told(last, np.array([AGAIN]))
+
+    def told(rows, kind):
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(kind, pa.int32())], names=[*rows.schema.names, "kind"])
+
+    spread = strings.select("w", "id", "th", "s").repartitionByRange(*([tasks] if tasks else []), "w", "id", "th", "s").sortWithinPartitions("w")
+    found = materialise(spread.mapInArrow(run, "w bigint, id bigint, th bigint, s int, kind int"), "suffix-again")
+    edges = found.where(F.col("kind") == EDGE)
+    over = edges.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
+    hits = found.where(F.col("kind") == AGAIN).drop("kind").unionByName(edges.drop("kind").join(over, "w", "left_semi"))
+    return hits.where("s IS NOT NULL").select("id", "th", F.col("s").alias("low"), F.col("s").alias("high"))
 
 
 def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with ``keep_text`` the bytes that stay."""
     keyed = docs.select(F.coalesce("doc_id", F.lit(-1)).cast("bigint").alias("id"), F.xxhash64("text").alias("th"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     table = materialise(with_intervals(keyed, doubled_ranks(unit_rows(keyed.select("id", "th", "text")))), "suffix-docs")
-    judged = materialise(judged_intervals(table), "suffix-judged")
-    strings = materialise(string_hashes(table, judged), "suffix-strings")
-    again = materialise(strings.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w"), "suffix-again")
-    hits = strings.where("s IS NOT NULL").join(again, "w").select("id", "th", F.col("s").alias("low"), F.col("s").alias("high"))
+    judged = judged_intervals(table)
+    strings, path = write_once(string_hashes(table, judged), "suffix-strings")
+    hits = repeated_strings(strings)
     covered = judged.where(F.col("kind") != SINGLE).select("id", "th", "low", "high").union(hits)
     covered = materialise(covered.groupBy("id", "th").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "suffix-covered")
+    discard(docs.sparkSession, path)
 
     def run(batches):
         for batch in batches:
