@@ -6,8 +6,9 @@ Each is a small state machine over one key's rows in time order. ``ordered_scan`
 
 In batch a key is not one task. The rows are range partitioned by (key, time), so a busy key is cut into time slices. All
 slices run at once, each from a fresh machine, and report the state they end in. Where a slice should have started from its
-predecessor's end state instead, it alone runs again from that state; since these machines forget, their end states
-mostly stay what they were and the chain is settled after one or two such rounds. Rows stream through a task in order and
+predecessor's end state instead, it alone runs again from that state; where the machine has forgotten its start by the
+end of a slice, the chain is settled after one such round. Where it has not (a key that is always at its limit), the slices left
+run in a row. Rows stream through a task in order and
 only the machine's state is held.
 """
 
@@ -164,7 +165,7 @@ def _scan(machine, key: str, columns: list[str], out: str, slice_of: str, entrie
 
 def ordered_scan(
     df: DataFrame, key: str, clock: Column, tie: str, value: Column, machine: Callable[..., object], out: str, horizon: int | None = None,
-    slices: int | None = None, most_rounds: int = 5,
+    slices: int | None = None, most_rounds: int = 2,
 ) -> DataFrame:
     """Adds column ``out``: the machine's result for each row, per key in (clock, tie) order.
 
