@@ -121,6 +121,34 @@ class Cooldown:
         return (None if self.last is None else int(self.last),)
 
 
+class FifoCache:
+    """Answers a key from the cache when it holds it, else answers afresh and stores the key, the oldest one leaving a full
+    cache. Hits do not refresh a key; a null key is answered afresh and not stored."""
+
+    state_ddl = "held array<string>"
+
+    def __init__(self, state=None, size=50):
+        self.held, self.size = deque(state[0] if state else ()), size
+        self.keys = set(self.held)
+
+    def step(self, now: int, key) -> str:
+        if key is None or key != key:
+            return "MISS"
+        if key in self.keys:
+            return "HIT"
+        if len(self.held) >= self.size:
+            self.keys.discard(self.held.popleft())
+        self.held.append(key)
+        self.keys.add(key)
+        return "MISS"
+
+    def settled(self, now: int, horizon: int | None = None):
+        return (list(self.held),)
+
+    def dump(self):
+        return (list(self.held),)
+
+
 def _scan(machine, key: str, columns: list[str], out: str, slice_of: str, entries: dict[int, str] | None):
     """Runs the machine over sorted rows; after the rows of a slice comes one row with its first and last key, first time and
     end state. ``entries`` are the states from which the first key of each slice starts (a fresh machine without)."""
@@ -228,6 +256,13 @@ def union_of(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def cached_answers(requests: DataFrame, id_col: str, key: Column, size: int = 50) -> DataFrame:
+    """Adds ``cache_key`` and ``cache_result`` of one cache of ``size`` keys that sees all requests in id order."""
+    keyed = requests.withColumn("cache_key", key).withColumn("_cache", F.lit(0))
+    out = ordered_scan(keyed, "_cache", F.col(id_col), id_col, F.col("cache_key"), lambda state=None: FifoCache(state, size), "cache_result")
+    return out.drop("_cache")
+
+
 def rate_limit(log: DataFrame, user: str, clock: Column, tie: str, tokens: Column, **limits) -> DataFrame:
     return ordered_scan(log, user, clock, tie, tokens, lambda state=None: RateLimiter(state, **limits), "rate_status", RateLimiter(**limits).horizon)
 

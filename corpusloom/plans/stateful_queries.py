@@ -120,10 +120,19 @@ def _(spark, root):
     return st.run_available(out, "alert-cooldown").select("window_start", "rule", "severity", "outcome")
 
 
-@query("response_cache", f"""SELECT doc_id, {_KEY} AS cache_key, CASE WHEN row_number() OVER (PARTITION BY {_KEY} ORDER BY doc_id) = 1 THEN 'MISS' ELSE 'HIT' END AS cache_result FROM v_docs""", ("v_docs",))
+# The reference's cached pipeline: one cache of 50 keys for all requests, the oldest key leaving a full cache.
+CACHE_SIZE = 50
+
+
+@query("response_cache", f"""WITH o AS (SELECT doc_id, {_KEY} AS k, row_number() OVER (ORDER BY doc_id) AS rn FROM v_docs),
+r(rn, doc_id, k, held, cache_result) AS (
+  SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST([] AS VARCHAR[]), ''
+  UNION ALL SELECT o.rn, o.doc_id, o.k, CASE WHEN o.k IS NULL OR list_contains(r.held, o.k) THEN r.held WHEN len(r.held) >= {CACHE_SIZE} THEN list_append(r.held[2:], o.k) ELSE list_append(r.held, o.k) END,
+    CASE WHEN o.k IS NOT NULL AND list_contains(r.held, o.k) THEN 'HIT' ELSE 'MISS' END FROM r JOIN o ON o.rn = r.rn + 1)
+SELECT doc_id, k AS cache_key, cache_result FROM r WHERE rn > 0""", ("v_docs",), recursive=True)
 def _(spark, root):
     d = docs(spark, root).select("doc_id", reuse_key(F.col("content")).alias("k"))
-    return sf.earlier_answers(d, "doc_id", F.col("k")).select("doc_id", "cache_key", "cache_result")
+    return sf.cached_answers(d, "doc_id", F.col("k"), CACHE_SIZE).select("doc_id", "cache_key", "cache_result")
 
 
 @query("log_sink_stream", f"""SELECT count(*) AS total_requests, {r6('avg(latency_ms)')} AS avg_latency_ms, max(latency_ms) AS max_latency_ms, CAST(sum(total_tokens) AS BIGINT) AS total_tokens,

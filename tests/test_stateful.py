@@ -48,6 +48,18 @@ def test_earlier_answers(spark):
     assert {r.id: r.cache_result for r in got} == {i: "MISS" if q is not None and firsts[q] == i else "HIT" if q is not None else "MISS" for i, q in rows}
 
 
+def test_cached_answers_evict_the_oldest_key(spark):
+    rnd = random.Random(7)
+    rows = [(i, None if i % 13 == 0 else f"q{rnd.randint(0, 9) if i % 3 else rnd.randint(0, 40)}") for i in range(900)]
+    got = sf.cached_answers(spark.createDataFrame(rows, "id long, q string").repartition(6), "id", F.col("q"), 8).collect()
+    cache, want = sf.FifoCache(size=8), {}
+    for i, q in rows:
+        want[i] = cache.step(i, q)
+    # a key asked again after eight newer keys were stored is answered afresh
+    assert {r.id: r.cache_result for r in got} == want and "HIT" in want.values()
+    assert sum(v == "MISS" for v in want.values()) > len({q for _, q in rows})
+
+
 @pytest.fixture(scope="module")
 def log(spark):
     rnd = random.Random(4)
