@@ -66,6 +66,15 @@ def test_kth_largest(spark):
     assert importance.kth_largest(frame, "x", 3051) is None
 
 
+def test_importance_features_hold_bigrams():
+    got = {}
+    for numbers, buckets, _ in importance.feature_pairs([t.encode() for t in ("alpha beta gamma", "gamma beta alpha", "", "x")]):
+        for n, b in zip(numbers, buckets):
+            got.setdefault(int(n), set()).add(int(b))
+    # the same words in another order are other features; three words hold two bigrams besides the three words
+    assert got[0] != got[1] and len(got[0] - got[1]) == 2 and len(got[0]) == 6 and 2 not in got and len(got[3]) == 2
+
+
 def test_importance_rejects_what_the_target_lacks(spark):
     rows, labels = [], []
     for i in range(1500):
