@@ -98,3 +98,18 @@ def test_word_chunks_cover_all_words(text, size, overlap):
     words = text.split()
     assert set(" ".join(chunks).split()) == set(words)
     assert " ".join(ck.sentence_word_chunks(text, size, 0)).split() == words
+
+
+def test_chunk_batches_are_cut_by_bytes(spark):
+    from corpusloom.operators import chunking as ck
+
+    texts = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("Word one. Word two. "), 2000).alias("content"))
+    seen = ck.chunk_array(F.col("content"), lambda t: [str(len(t))])  # sets the cut as a step of the plan
+    assert int(spark.conf.get(ck.ARROW_BYTES)) <= ck.BATCH_BYTES
+
+    @F.pandas_udf("long")
+    def batch_rows(s):
+        return s.map(lambda _: len(s))
+
+    # 3,000 texts of 40,000 characters: more than 64 MB in one partition, about 8 MB a batch (a batch ends after the row that passes it)
+    assert texts.select(batch_rows("content").alias("n"), seen.alias("c")).agg(F.max("n")).first()[0] * 40_000 <= 2 * ck.BATCH_BYTES
