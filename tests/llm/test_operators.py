@@ -75,6 +75,36 @@ def test_importance_features_hold_bigrams():
     assert got[0] != got[1] and len(got[0] - got[1]) == 2 and len(got[0]) == 6 and 2 not in got and len(got[3]) == 2
 
 
+def test_importance_task_holds_a_bounded_count(monkeypatch):
+    import pyarrow as pa
+
+    read = []
+
+    def batches():
+        for b in range(40):
+            read.append(b)
+            texts = [words_of(60, 100 * b + i, 50_000) for i in range(20)] + [None, ""]
+            yield pa.RecordBatch.from_arrays([pa.array(range(100 * b, 100 * b + 22), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+
+    def summed(out):
+        got = {}
+        for batch in out:
+            for b, r, t, c in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                old = got.get(b, (0, 0, 0))
+                got[b] = (old[0] + r, old[1] + t, old[2] | c)
+        return got
+
+    chosen = np.arange(0, 4000, 3, dtype=np.int64)
+    whole = summed(importance.task_counts(batches(), chosen))
+    monkeypatch.setattr(importance, "MERGE_AT", 2000)
+    read.clear()
+    stream = importance.task_counts(batches(), chosen)
+    first = next(stream)
+    # rows leave the task long before its input ends, and Spark's sum of them is the same count
+    assert first.num_rows and len(read) < 40
+    assert summed([first, *stream]) == whole and whole[-1] == (880, 294, 0)
+
+
 def test_importance_rejects_what_the_target_lacks(spark):
     rows, labels = [], []
     for i in range(1500):
