@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.chunking import explode_chunks, greedy_array
+from corpusloom.operators.chunking import bound_batches, explode_chunks, greedy_array
 from corpusloom.operators.embedding import hashed_embeddings
 from corpusloom.session import scratch_path
 from corpusloom.streaming.parts import FAN, merge_parts, read_parts, write_part
@@ -58,6 +58,7 @@ def merge_batch(path: str, version: str | None = None, fan: int = FAN):
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        bound_batches(spark)
         rows = newest_versions(batch, version) if version else batch
         parts = greedy_array(F.col("content"))
         known = newest_digests(read_parts(spark, f"{path}/digests", DIGEST_DDL, before=batch_id)).select("doc_id", F.col("doc_hash").alias("_known"))

@@ -228,6 +228,31 @@ def test_index_sync_versions_and_deletes(spark, tmp_path):
         assert {r.doc_id: r.content for r in got} == index and len(got) == len(index)
 
 
+def test_index_sync_batches_are_bounded(spark, tmp_path):
+    from corpusloom.operators.chunking import ARROW_BYTES, BATCH_BYTES
+    from corpusloom.streaming.index_sync import merge_batch
+
+    ddl = "doc_id long, content string"
+    src, path = str(tmp_path / "src"), str(tmp_path / "ix")
+    spark.createDataFrame([(1, "One text here. " * 40), (2, "Two.")], ddl).coalesce(1).write.parquet(src)
+    held, seen = spark.conf.get(ARROW_BYTES), []
+    merge = merge_batch(path)
+
+    def run(batch, batch_id):
+        batch.sparkSession.conf.set(ARROW_BYTES, str(256 << 20))  # as a stream's session holds it before any chunking
+        merge(batch, batch_id)
+        seen.append(int(batch.sparkSession.conf.get(ARROW_BYTES)))
+
+    try:
+        q = spark.readStream.schema(ddl).parquet(src).writeStream.foreachBatch(run).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(ARROW_BYTES, held)
+    # the chunker runs in the batch's own session, so the bound must be set there
+    assert seen and all(b <= BATCH_BYTES for b in seen)
+    assert sorted(r.doc_id for r in index_state(spark, path).select("doc_id").distinct().collect()) == [1, 2]
+
+
 def test_stream_of_a_folder_table(spark, tmp_path):
     rows = spark.range(50).select(F.col("id").alias("item_id"), F.lit("some text").alias("text"))
     rows.repartition(3).write.parquet(str(tmp_path / "benchmark.parquet"))
