@@ -208,9 +208,10 @@ def gram_hashes(df: DataFrame, key: str, text_col: str, n: int) -> DataFrame:
         parts = lambda i: [F.get(words, i + k) for k in range(n)]
         return F.transform(at, lambda i: F.struct(F.xxhash64(*parts(i)).alias("a"), F.xxhash64(F.lit(n), *parts(i)).alias("b")))
 
-    # the word hashes are computed once, in the one element of an array
+    # the word hashes are computed once, in the one element of an array; repeats are left to the callers' hashed distinct,
+    # since array_distinct compares struct elements pairwise, quadratic in a document's length
     found = F.element_at(F.transform(F.array(F.transform(tokens, lambda t: F.xxhash64(t))), grams), 1)
-    return df.select(key, F.explode(F.array_distinct(found)).alias("g")).select(key, "g.*")
+    return df.select(key, F.explode(found).alias("g")).select(key, "g.*")
 
 
 def ngram_containment(items: DataFrame, corpus: DataFrame, item_key: str, item_text: str, corpus_key: str, corpus_text: str, n: int = 5) -> DataFrame:

@@ -124,3 +124,13 @@ def test_containment(spark):
     corpus = spark.createDataFrame([(1, "z a b c d e"), (2, "z a b c d e"), (3, None)], "d int, t string")
     rows = ev.ngram_containment(items, corpus, "i", "t", "d", "t").collect()
     assert [(r.i, r.grams, r.grams_found) for r in rows] == [(1, 2, 1)]
+
+
+def test_containment_repeats_and_long_texts(spark):
+    # repeated grams count once; no pairwise array_distinct over a document's gram structs (quadratic in its length)
+    items = spark.createDataFrame([(1, "a b c d e a b c d e")], "i int, t string")
+    corpus = spark.createDataFrame([(1, "a b c d e x a b c d e")], "d int, t string")
+    rows = ev.ngram_containment(items, corpus, "i", "t", "d", "t").collect()
+    assert [(r.i, r.grams, r.grams_found) for r in rows] == [(1, 5, 1)]
+    plan = ev.gram_hashes(corpus, "d", "t", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" not in plan
