@@ -397,3 +397,27 @@ def test_components(spark):
     got = {r.node: r.component for r in common.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     linked = {v for a, b in edges if a != b for v in (a, b)}
     assert got == {v: top(v) for v in linked}
+
+
+def test_importance_counts_only_buckets_that_can_be_listed(spark):
+    rows, labels = [], []
+    for i in range(1500):
+        bad = i % 5 == 0
+        rows.append((i, words_of(40, i, 300) + (f" clown {words_of(3, 10_000 + i, 300)} clown" if bad else ""), "s"))
+        if i % 2 == 0:
+            labels.append((i, 1, int(bad)))
+    docs, labels = documents(spark, rows).repartition(4), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    ids = importance.target_ids(labels, importance.MOST_LABELS)
+    whole = importance.feature_counts(docs, ids).collect()
+    # the model of all counts, as before the heavy buckets were found first
+    total = next(r for r in whole if r["bucket"] == -1)
+    share = total["target"] / total["raw"]
+    listed = sorted(
+        (r["bucket"], np.log((r["target"] + 1) / (r["raw"] * share + 1)))
+        for r in whole
+        if r["bucket"] >= 0 and bin(r["contexts"] & (2**64 - 1)).count("1") >= importance.CONTEXTS and r["raw"] * share - r["target"] > importance.Z * np.sqrt(r["raw"] * share + 1) and np.log((r["target"] + 1) / (r["raw"] * share + 1)) <= importance.CUT
+    )
+    buckets, ratios = importance.ratio_model(docs, labels)
+    assert listed and list(buckets) == [b for b, _ in listed] and np.allclose(ratios, [r for _, r in listed])
+    heavy = importance.heavy_buckets(docs, 16.9 * total["raw"] / total["target"])
+    assert set(buckets) <= set(heavy) and 0 < len(heavy) < len(whole) / 10
